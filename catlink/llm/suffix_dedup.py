@@ -34,14 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catlink.llm.runtime import checkpoint
+from catlink.functions.runtime import checkpoint
 from catlink.llm.textbytes import Rolling, blocks, fmix, sliding_argmin, text_buffer
 
 ANCHOR_BYTES = 48
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 2 << 20
 NEED, FULL, OWNER = 1, 2, 4
 #: Stands for a null id, which is the earliest.
 NO_ID = -(2**63)
@@ -150,7 +151,7 @@ def _list_items(column) -> tuple[np.ndarray, pa.Array]:
     """(row, flattened values) of a list column; null lists are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(pa.compute.list_parent_indices(column)), column.flatten()
+    return np.asarray(pc.list_parent_indices(column)), column.flatten()
 
 
 def _send_bytes(length: int):
