@@ -12,6 +12,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catlink.llm.simhash import simhash_components
+
+    out = simhash_components(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catlink.llm.suffix_dedup import suffix_dedup
 
