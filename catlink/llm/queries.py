@@ -26,6 +26,14 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from catlink.llm.lattice_lm import lattice_score
+
+    return lattice_score(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), held_out=2)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
