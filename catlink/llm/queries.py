@@ -12,6 +12,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catlink.llm.chat_template import conversation_digests
+
+    table = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], "conv_id long, turn long, role string, text string")
+    return conversation_digests(table.unionByName(extra))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catlink.llm.simhash import simhash_components
 
@@ -47,5 +56,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f) and name[2].isdigit()}
 
 
+#: Conversations as the formatter sees them; backslash, number sign, less-than and colon take one more character.
+_OP1 = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length(regexp_replace(role, '[\\#<:]', 'xx', 'g')) + length(regexp_replace(text, '[\\#<:]', 'xx', 'g')) + 15)::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat_format": _OP1}
