@@ -35,6 +35,37 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: Tokenizer versions of the rollup query, as regular expressions of their tokens.
+WORDS_1 = r"[^\x20\x09-\x0D]+"
+PIECES_2 = r"\p{L}+|\p{N}|[^\x20\x09-\x0D\p{L}\p{N}]+"
+
+
+def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads estimates, revises them to counts, adds a tokenizer version, deletes later copies, repeats a batch."""
+    from catlink.functions.runtime import checkpoint
+    from catlink.llm.token_rollup import RollupStore, changes, shared_folder
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    counted = checkpoint(
+        _table(spark, sf_dir, "documents").select(
+            "doc_id", "source", "lang", F.ceil(F.coalesce("n_chars", F.lit(0)) / 4).alias("estimate"),
+            F.regexp_count(text, F.lit(WORDS_1)).cast("long").alias("words"), F.regexp_count(text, F.lit(PIECES_2)).cast("long").alias("pieces"),
+            F.sha2(text, 256).alias("digest"),
+        )
+    )
+    first = counted.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    copies = counted.join(first, ["doc_id", "digest"], "left_anti")
+    store = RollupStore(spark, shared_folder(spark, "rollup"))
+    store.commit("load", changes(counted, "words@1", 1, "estimate"))
+    store.commit("recount", changes(counted, "words@1", 0, "words", was="estimate"))
+    store.commit("pieces", changes(counted, "pieces@2", 1, "pieces"))
+    gone = changes(copies, "words@1", -1, "words").unionByName(changes(copies, "pieces@2", -1, "pieces"))
+    for _ in range(2):  # the second commit of the id changes nothing
+        store.commit("copies", gone)
+    store.compact()
+    return store.totals()
+
+
 def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -71,6 +102,16 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+_OP6 = rf"""
+WITH d AS (
+  SELECT *, len(regexp_extract_all(coalesce(text, ''), '{WORDS_1}')) AS words, len(regexp_extract_all(coalesce(text, ''), '{PIECES_2}')) AS pieces,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+  FROM documents
+), kept AS (SELECT * FROM d WHERE doc_id = first)
+SELECT source, lang, 'words@1' AS tokenizer, count(*)::BIGINT AS documents, sum(words)::BIGINT AS tokens FROM kept GROUP BY source, lang
+UNION ALL SELECT source, lang, 'pieces@2', count(*)::BIGINT, sum(pieces)::BIGINT FROM kept GROUP BY source, lang
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _OP1}
+    return {"op1_chat_format": _OP1, "op6_token_rollup": _OP6}
