@@ -66,6 +66,12 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.totals()
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catlink.llm.cover_tree import cosine_links
+
+    return cosine_links(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -112,6 +118,18 @@ SELECT source, lang, 'words@1' AS tokenizer, count(*)::BIGINT AS documents, sum(
 UNION ALL SELECT source, lang, 'pieces@2', count(*)::BIGINT, sum(pieces)::BIGINT FROM kept GROUP BY source, lang
 """
 
+_OP8 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+), l AS (
+  SELECT a.vec_id AS src, b.vec_id AS dst FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), r AS (
+  SELECT vec_id AS src, vec_id AS dst FROM v UNION SELECT r.src, l.dst FROM r JOIN l ON r.dst = l.src
+), c AS (SELECT src AS vec_id, min(dst)::BIGINT AS component_id FROM r GROUP BY src)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.src = c.vec_id)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM c
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _OP1, "op6_token_rollup": _OP6}
+    return {"op1_chat_format": _OP1, "op6_token_rollup": _OP6, "op8_cover_tree": _OP8}
