@@ -66,6 +66,12 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.totals()
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catlink.llm.decontaminate import contaminated
+
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), shingle=5, similarity=0.8)
+
+
 def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catlink.llm.cover_tree import cosine_links
 
