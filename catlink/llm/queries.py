@@ -28,6 +28,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catlink.llm.weak_labels import classify
+
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catlink.llm.suffix_dedup import suffix_dedup
 
