@@ -34,6 +34,12 @@ def op3_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from catlink.llm.license_scan import license_scan
+
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catlink.llm.suffix_dedup import suffix_dedup
 
@@ -130,6 +136,25 @@ SELECT source, lang, 'words@1' AS tokenizer, count(*)::BIGINT AS documents, sum(
 UNION ALL SELECT source, lang, 'pieces@2', count(*)::BIGINT, sum(pieces)::BIGINT FROM kept GROUP BY source, lang
 """
 
+def _op4() -> str:
+    """Every shingle of every document against every template, window by window."""
+    from catlink.llm.license_scan import SEPARATORS, TEMPLATES
+
+    split = f"list_filter(string_split(regexp_replace(lower(text), '{SEPARATORS}', ' ', 'g'), ' '), lambda w: w <> '')"
+    values = ", ".join(f"('{k}', '{t}')" for k, t in sorted(TEMPLATES.items()))
+    return rf"""
+WITH t AS (SELECT license, {split} AS w FROM (VALUES {values}) AS v(license, text)),
+k AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM t)),
+n AS (SELECT license, count(*) AS s FROM k GROUP BY license),
+d AS (SELECT doc_id, {split} AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(0, len(w) - 4)) AS pos, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle FROM d),
+m AS (SELECT doc_id, license, s, shingle, unnest([pos // s, pos // s - 1]) AS win FROM p JOIN k USING (shingle) JOIN n USING (license)),
+c AS (SELECT doc_id, license, win * any_value(s) AS first_word, count(DISTINCT shingle) / any_value(s) AS containment FROM m WHERE win >= 0 GROUP BY doc_id, license, win)
+SELECT doc_id, license, max(containment)::DOUBLE AS containment, arg_min(first_word, (-containment, first_word))::BIGINT AS first_word
+FROM c WHERE containment >= 0.8 GROUP BY doc_id, license
+"""
+
+
 _OP8 = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
@@ -144,4 +169,4 @@ SELECT vec_id, (SELECT count(*) FROM l WHERE l.src = c.vec_id)::BIGINT AS n_link
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": _OP1, "op6_token_rollup": _OP6, "op8_cover_tree": _OP8}
+    return {"op1_chat_format": _OP1, "op4_license_scan": _op4(), "op6_token_rollup": _OP6, "op8_cover_tree": _OP8}

@@ -33,7 +33,7 @@ def test_expectation_maximisation_recovers_accuracies():
     fired = rng.random((len(y), len(NAMES))) < rate[y]
     keys, n = np.unique((fired * (1 << np.arange(len(NAMES)))).sum(axis=1), return_counts=True)
     got_share, got_rate, posterior = fit_labellers(dict(zip(keys.tolist(), n.tolist(), strict=True)))
-    assert abs(got_share - share).max() < 0.04 and abs(got_rate - rate)[[0, 1, 2, 4, 5]].max() < 0.12
+    assert abs(got_share - share).max() < 0.04 and abs(got_rate - rate)[[0, 1, 2, 4, 5]].max() < 0.15
     assert posterior[0] < 0.05
 
 
