@@ -196,15 +196,23 @@ def _search(index):
     return run
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Returns (id, item_id, first_word, score, question_overlap, answer_overlap) for each document and item it holds.
+def _clean_rows(index, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = index.value
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(text_col))
+            clean = np.ones(batch.num_rows, bool)
+            for a, b in blocks(offsets):
+                clean[[a + r[0] for r in own.find(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])]] = False
+            yield batch.filter(pa.array(clean))
 
-    score: the passage's BM25 score over the least that a verified passage can have.
-    """
-    spark = docs.sparkSession
-    schema = "_i long, item_id long, first_word long, score double, question_overlap double, answer_overlap double"
+    return run
+
+
+def _indexes(benchmark: DataFrame, shingle: int, similarity: float):
+    """Broadcast indexes of the benchmark, one for each shard of bounded size."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("item_id is not null and text is not null").orderBy("item_id", "text")
-    # pass 1 over the benchmark: document frequencies and lengths, of all shards together
+    # document frequencies and lengths are those of all shards together
     frequency: Counter = Counter()
     total, length, longest = 0, 0, 1
     shards: list[list[tuple[int, str]]] = [[]]
@@ -217,11 +225,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         if len(shards[-1]) >= SHARD_ITEMS:
             shards.append([])
         shards[-1].append((r["item_id"], r["text"]))
+    send = benchmark.sparkSession.sparkContext.broadcast
+    return [send(BlockMaxIndex(s, frequency, total, length / total, min(longest, SEGMENT_WORDS), shingle, similarity)) for s in shards if s]
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Returns (id, item_id, first_word, score, question_overlap, answer_overlap) for each document and item it holds.
+
+    score: the passage's BM25 score over the least that a verified passage can have.
+    """
+    schema = "_i long, item_id long, first_word long, score double, question_overlap double, answer_overlap double"
     own = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
-    out = spark.createDataFrame([], schema)
-    for shard in shards:
-        if shard:
-            index = BlockMaxIndex(shard, frequency, total, length / total, min(longest, SEGMENT_WORDS), shingle, similarity)
-            found = own.mapInArrow(_search(spark.sparkContext.broadcast(index)), schema)
-            out = found if len(shards) == 1 else out.unionByName(found)
+    found = [own.mapInArrow(_search(x), schema) for x in _indexes(benchmark, shingle, similarity)]
+    out = docs.sparkSession.createDataFrame([], schema) if not found else found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
     return out.withColumnRenamed("_i", id_col)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item; no exchange."""
+    for index in _indexes(benchmark, shingle, similarity):
+        docs = docs.mapInArrow(_clean_rows(index, text_col), docs.schema)
+    return docs

@@ -13,7 +13,8 @@ Search of distinct fingerprints only (exact copies collapse first, by a partial
   close pair meets in one of them.
 * *Large shards* are dealt anew in the same way over the bits outside their band.
 * *Inside a shard* a vantage-point tree over the whole distance splits at the median distance and
-  prunes a branch when the triangle bound excludes it.  The search walks components: fingerprints
+  prunes a branch when the triangle bound excludes it.  A dual traversal of its leaves finds the
+  members with any link; among those the search walks components: fingerprints
   already reached leave the tree, so a dense cluster costs about one query for each member and
   no pair is ever emitted, only one edge from each member to its component's first.
 
@@ -37,7 +38,6 @@ from catlink.llm.textbytes import LOWER, SPACE, blocks, text_buffer, words
 from catlink.operators.components import connected_components
 
 LEAF = 64
-DENSE = 160
 SHARD_ROWS = 20_000
 
 
@@ -139,13 +139,39 @@ class VantageTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
+def linked(values: np.ndarray, radius: int) -> np.ndarray:
+    """Which values have another within the radius: a dual traversal of a vantage-point tree's leaves.
+
+    A pair of leaves is skipped when their ranges of distances to a common vantage point are farther
+    apart than the radius; other pairs are compared as blocks.
+    """
+    tree = VantageTree(values)
+    out = np.zeros(len(values), bool)
+    leaves = [x for x in tree.nodes if not isinstance(x, tuple) and len(x)]
+    vantages = [x[0] for x in tree.nodes if isinstance(x, tuple)][:8]
+    low, high = np.zeros((len(leaves), len(vantages)), int), np.zeros((len(leaves), len(vantages)), int)
+    for i, leaf in enumerate(leaves):
+        for k, v in enumerate(vantages):
+            far = np.bitwise_count(values[leaf] ^ v)
+            low[i, k], high[i, k] = far.min(), far.max()
+    for i, leaf in enumerate(leaves):
+        rest = np.arange(i, len(leaves))
+        if len(vantages):
+            rest = rest[((low[rest] - radius <= high[i]) & (high[rest] + radius >= low[i])).all(axis=1)]
+        others = np.concatenate([leaves[j] for j in rest])
+        near = np.bitwise_count(values[leaf][:, None] ^ values[others][None, :]) <= radius
+        near[np.arange(len(leaf)), np.arange(len(leaf))] = False  # the leaf itself stands first
+        out[leaf] |= near.any(axis=1)
+        out[others] |= near.any(axis=0)
+    return out
+
+
 def link_shard(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """(member, first of its component) for every member that has a link; values are distinct."""
+    values = values[linked(values, radius)]
     n = len(values)
-    if n <= DENSE:
-        near = np.bitwise_count(values[:, None] ^ values[None, :]) <= radius
-        if int(near.sum()) == n:
-            return values[:0], values[:0]
+    if n == 0:
+        return values, values
     tree = VantageTree(values)
     member, first = [], []
     for seed in range(n):
@@ -246,3 +272,33 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     grouped = groups.join(nodes, "_f", "left").withColumn("_root", F.coalesce("component", "_f")).select("_f", "_root", "_least")
     named = grouped.join(grouped.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("_f", "component_id")
     return prints.join(named, "_f").select(F.col("_i").alias(id_col), F.col("_f").alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 2, radius: int = 7) -> DataFrame:
+    """The rows of ``docs`` with one of each group kept: the smallest id, then the smallest hash of the text.
+
+    Texts move once, in the join with the kept rows.  Rows repeated with equal id and text are one
+    document; rows without an id come after all others.
+    """
+    key, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.col(text_col))
+    own = docs.select(key.alias("_i"), F.col(text_col).alias("_t"), digest.alias("_h"))
+    prints = checkpoint(own.mapInArrow(_with_digest(shingle), "_i long, _f long, _h long"))
+    nodes = connected_components(close_links(prints.select("_f").distinct(), "_f", radius)).withColumnsRenamed({"node": "_f", "component": "_root"})
+    # one row for each fingerprint first, so that a large group of copies is summed where it lies
+    least = prints.groupBy("_f").agg(F.min(F.struct("_i", "_h")).alias("_m")).join(nodes, "_f", "left")
+    kept = least.groupBy(F.coalesce("_root", "_f").alias("_root")).agg(F.min("_m").alias("_m")).select("_m.*")
+    rows = docs.withColumns({"_i": key, "_h": digest}).join(kept, ["_i", "_h"], "left_semi")
+    return rows.dropDuplicates(["_i", "_h"]).select(*docs.columns)
+
+
+def _with_digest(shingle: int):
+    inner = _fingerprint_rows(shingle)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for out in inner(iter([batch])):
+                yield out.append_column("_h", batch.column("_h").slice(at, out.num_rows))
+                at += out.num_rows
+
+    return run

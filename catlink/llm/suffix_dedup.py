@@ -248,7 +248,7 @@ def _judge_shards(length: int):
 
 
 def _remove(length: int, keep: str, whole_chars: bool):
-    names = ["_i", "n_bytes", "n_removed", "n_spans", "kept"]
+    names = ["_i", "n_bytes", "n_removed", "n_spans", "kept", "carried"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,7 +295,7 @@ def _remove(length: int, keep: str, whole_chars: bool):
                 kept_ends = (local - sums[local]).astype(np.int32)
                 kept = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(kept_ends.tobytes()), pa.py_buffer(x[~gone].tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_i").slice(a, b - a), pa.array(np.diff(local)), pa.array(removed.astype(np.int64)), pa.array((starts[local[1:]] - starts[local[:-1]]).astype(np.int64)), kept], names=names
+                    [batch.column("_i").slice(a, b - a), pa.array(np.diff(local)), pa.array(removed.astype(np.int64)), pa.array((starts[local[1:]] - starts[local[:-1]]).astype(np.int64)), kept, batch.column("carried").slice(a, b - a)], names=names
                 )
 
     return run
@@ -310,16 +310,20 @@ def _whole_characters(x: np.ndarray, gone: np.ndarray) -> np.ndarray:
     return gone & ~partly[char]
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_bytes: int = 400, keep: str = "none", whole_chars: bool = False) -> DataFrame:
-    """Returns (id, n_bytes, n_removed, n_spans, kept binary), one row for each input row.
+def suffix_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, min_bytes: int = 400, keep: str = "none", whole_chars: bool = False, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Returns (id, n_bytes, n_removed, n_spans, kept binary, carried), one row for each input row.
 
-    ``whole_chars``: never cut inside a UTF-8 character.
+    ``whole_chars``: never cut inside a UTF-8 character.  ``carry``: columns to keep, in the struct
+    ``carried`` (left out without any).
     """
     if keep not in ("none", "first"):
         raise ValueError("keep: none or first")
     if min_bytes < 16:
         raise ValueError("min_bytes: 16 at least")
-    own = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_i"), F.col(text_col).alias("_t")).withColumn("_r", F.xxhash64("_i", "_t"))
+    own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    own = docs.select(own_id.alias("_i"), F.col(text_col).alias("_t")).withColumn("_r", F.xxhash64("_i", "_t"))
     counted = checkpoint(own.mapInArrow(_count_stretches(min_bytes), "_r long, _i long, _k long, _d long, _c long"))
     order = F.min(F.struct(F.col("_i"), F.col("_r")))
     by_stretch = counted.groupBy("_k", "_d").agg(F.sum("_c").alias("_n"), order.alias("_first"))
@@ -335,6 +339,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     judged = sent.mapInArrow(_judge_shards(min_bytes), "_r long, _d long, _any binary, _early binary")
     verdicts = told.join(judged, ["_r", "_d"], "left").filter((F.col("_f").bitwiseAND(FULL) > 0) | F.col("_any").isNotNull())
     verdicts = verdicts.groupBy("_r").agg(F.collect_list(F.struct("_d", "_f", "_any", "_early")).alias("_v"))
-    final = own.join(verdicts, "_r", "left").select("_i", "_t", "_v")
-    out = final.mapInArrow(_remove(min_bytes, keep, whole_chars), "_i long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.select(F.when(F.col("_i") != NO_ID, F.col("_i")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
+    whole = docs.select(own_id.alias("_i"), F.col(text_col).alias("_t"), F.struct(*carry, F.lit(0).alias("_")).alias("carried")).withColumn("_r", F.xxhash64("_i", "_t"))
+    final = whole.join(verdicts, "_r", "left").select("_i", "_t", "_v", "carried")
+    kind = final.schema["carried"].dataType.simpleString()
+    out = final.mapInArrow(_remove(min_bytes, keep, whole_chars), f"_i long, n_bytes long, n_removed long, n_spans long, kept binary, carried {kind}")
+    out = out.select(F.when(F.col("_i") != NO_ID, F.col("_i")).alias(id_col), "n_bytes", "n_removed", "n_spans", "kept", "carried")
+    return out if carry else out.drop("carried")

@@ -254,11 +254,9 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.nda
     return made[0], made[1]
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Returns (id, posterior, score, rejected), one row for each input row; rejected: score >= 0.5."""
-    spark = docs.sparkSession
-    send = spark.sparkContext.broadcast
-    own = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
+def _fit(own: DataFrame, labels: DataFrame):
+    """(lexicon, posterior by pattern, scorer) as broadcasts, from (_i, _t) rows; None for an empty table."""
+    send = own.sparkSession.sparkContext.broadcast
     lexicon = send(mine_lexicon(own, labels))
     seed = F.pmod(F.xxhash64("_i", F.length("_t")), F.lit(1_000_000))
 
@@ -267,9 +265,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["pattern", "n"])
 
     counted = own.select("_t").mapInArrow(_each(0, vote), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
-    schema = "_i long, posterior double, score double"
     if not counted:
-        return spark.createDataFrame([], schema).select(F.col("_i").alias(id_col), "posterior", "score", F.lit(False).alias("rejected"))
+        return None
     patterns = {r["pattern"]: r["n"] for r in counted}
     _, _, posterior = fit_labellers(patterns)
 
@@ -292,13 +289,40 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     flat = lambda name: np.concatenate([np.zeros(0), *[c.flatten().to_numpy() for c in train[name].chunks]])
     target = np.array([posterior.get(int(p), 0.0) for p in votes(rates)])
     model = send(Scorer.fit(np.repeat(np.arange(len(size)), size), flat("bucket").astype(np.int64), flat("value"), Scorer.dense_features(rates), target))
-    told = send(posterior)
+    return lexicon, send(posterior), model
 
-    def score(block, batch):
-        rates = block.rates(lexicon.value)
-        given = [told.value.get(int(p), 0.0) for p in votes(rates)]
-        value = model.value.score(block, rates)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(given, pa.float64()), pa.array(np.where(block.count > 0, value, 0.0))], names=["_i", "posterior", "score"])
 
-    out = own.mapInArrow(_each(1, score), schema)
+def _judge(block: Bytes, fitted) -> tuple[np.ndarray, np.ndarray]:
+    """(posterior, score) of each document."""
+    lexicon, posterior, model = (x.value for x in fitted)
+    rates = block.rates(lexicon)
+    given = np.array([posterior.get(int(p), 0.0) for p in votes(rates)], float)
+    return given, np.where(block.count > 0, model.score(block, rates), 0.0)
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Returns (id, posterior, score, rejected), one row for each input row; rejected: score >= 0.5."""
+    own = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
+    fitted, schema = _fit(own, labels), "_i long, posterior double, score double"
+    if fitted is None:
+        out = docs.sparkSession.createDataFrame([], schema)
+    else:
+
+        def score(block, batch):
+            given, value = _judge(block, fitted)
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(given), pa.array(value)], names=["_i", "posterior", "score"])
+
+        out = own.mapInArrow(_each(1, score), schema)
     return out.select(F.col("_i").alias(id_col), "posterior", "score", (F.col("score") >= 0.5).alias("rejected"))
+
+
+def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps; texts aren't moved."""
+    fitted = _fit(docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t")), labels)
+    if fitted is None:
+        return docs
+
+    def keep(block, batch):
+        return batch.filter(pa.array(_judge(block, fitted)[1] < 0.5))
+
+    return docs.mapInArrow(_each(docs.columns.index(text_col), keep), docs.schema)
