@@ -34,9 +34,6 @@ MEMBERSHIP = "SELECT DISTINCT l_orderkey AS item, l_partkey AS member FROM linei
 LINES = "SELECT doc_id, split(text, '\\n')[0] AS title FROM documents"
 LINES_SQL = "SELECT doc_id, string_split(text, chr(10))[1] AS title FROM documents"
 
-#: Customers and suppliers of one nation: a sparse network.
-NATION_EDGES = "SELECT DISTINCT o_custkey AS src, 1000000 + l_suppkey AS dst FROM orders JOIN lineitem ON o_orderkey = l_orderkey"
-
 
 def duck(sql: str) -> str:
     return sql.replace("AS STRING", "AS VARCHAR")
