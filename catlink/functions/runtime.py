@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -17,3 +18,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
         context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
+
+
+def running_sum(rows: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """Adds the running sum of ``value`` in the order of a unique column, without one task for all rows.
+
+    Ranges are summed apart; the sums of the ranges before, one row for each, are added.
+    """
+    part = checkpoint(rows.repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
+    sums = part.groupBy("_p").agg(F.sum(value).alias("_s"))
+    before = sums.withColumn("_b", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_b")
+    own = part.withColumn("_o", F.sum(value).over(Window.partitionBy("_p").orderBy(order)))
+    return own.join(before, "_p").withColumn(name, F.col("_o") + F.col("_b")).drop("_p", "_o", "_b")

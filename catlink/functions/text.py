@@ -125,9 +125,11 @@ def split_names(x: Column) -> Column:
 
 def name_sets_match(a: Column, b: Column) -> Column:
     """Do two arrays of normalised names share a name, or one name's words lie within another's?"""
-    sets = lambda x: F.filter(x, lambda n: n != "")
-    inside = lambda s, t: F.size(F.array_except(F.split(s, " "), F.split(t, " "))) == 0
-    return F.coalesce(F.exists(sets(a), lambda m: F.exists(sets(b), lambda n: inside(m, n) | inside(n, m))), F.lit(False))
+    words = lambda x: F.transform(F.filter(x, lambda n: n != ""), lambda n: F.array_sort(F.array_distinct(F.split(n, " "))))
+    # names of equally many words match only as equal sets, which the overlap finds first
+    inside = lambda s, t: (F.size(s) < F.size(t)) & (F.size(F.array_except(s, t)) == 0)
+    nested = F.exists(words(a), lambda m: F.exists(words(b), lambda n: inside(m, n) | inside(n, m)))
+    return F.coalesce(F.when(F.arrays_overlap(words(a), words(b)), True).otherwise(nested), F.lit(False))
 
 
 def strip_tags(x: Column) -> Column:

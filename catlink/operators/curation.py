@@ -90,11 +90,16 @@ def anchor_rows(catalog: DataFrame, old: DataFrame) -> DataFrame:
     o = old.select("old_id", F.col("spine").alias("ospine"), F.col("title_key").alias("otitle"), F.col("director_key").alias("odirector"), F.col("year").alias("oyear"), "ord")
     close = year_close(F.col("year"), F.col("oyear"))
     has_year = F.coalesce(F.col("year").cast("string"), F.lit("")) != ""
-    near = (has_year & close).cast("int")
+    near = (has_year & close).cast("int").alias("near")
     one = c.join(o, F.col("spine") == F.col("ospine")).select("row_id", "old_id", F.lit(1).alias("stage"), F.lit(0).alias("near"), "ord")
-    titles = c.filter("title_key <> ''").join(o, F.col("title_key") == F.col("otitle"))
-    stage = F.when(F.col("director_key") == F.col("odirector"), 2).otherwise(3)
-    more = titles.select("row_id", "old_id", stage.alias("stage"), near.alias("near"), "ord")
+
+    def by(stage: int, *keys: str) -> DataFrame:
+        # only a year's first old row can win, so a title's rows meet years and not each other
+        firsts = o.groupBy(*[f"o{k}" for k in keys], "oyear").agg(F.min(F.struct("ord", "old_id")).alias("m"))
+        on = [F.col(f"{k}_key") == F.col(f"o{k}") for k in keys]
+        return c.filter("title_key <> ''").join(firsts, on).select("row_id", "m.old_id", F.lit(stage).alias("stage"), near, "m.ord")
+
+    more = by(2, "title", "director").unionByName(by(3, "title"))
     best = first_wins(one.unionByName(more), ["row_id"], "stage", F.desc("near"), "ord")
     how = F.when(F.col("stage") == 1, "spine").when(F.col("stage") == 2, "title_director").when(F.col("near") == 1, "title_year").otherwise("title_only")
     return c.select("row_id").join(best.select("row_id", "old_id", how.alias("how")), "row_id", "left")

@@ -1,8 +1,8 @@
 """Container records and their constituents: splitting titles, finding groups by position, rolling up.
 
 The catalog's order is an explicit ``idx``.  Groups are found with window functions and equi-joins on
-positions, so the catalog is never walked row by row; the windows over the whole catalog read one
-narrow row for each catalog row.
+positions, and blocks are running sums by ranges, so the catalog is neither walked row by row nor
+gathered in one task.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catlink.functions import text as T
+from catlink.functions.runtime import checkpoint, running_sum
 
 #: Fixed values.
 CONTAINER_HINTS = (
@@ -113,8 +114,7 @@ def discover_groups(catalog: DataFrame, known: dict[str, list[str]]) -> DataFram
         "idx", "source_id", "title", F.col("director"), F.col("year").cast("string").alias("year"), blank("spine").alias("bare"), F.trim("spine").rlike("^[0-9]+$").alias("numbered"), (~blank("director")).alias("led"),
         is_container(F.col("title"), F.col("director"), F.col("year"), listed).alias("container"), expected_titles(F.col("title"), known).alias("e"),
     ).select("*", F.col("e.titles").alias("expected"), F.col("e.method").alias("method")).drop("e")
-    order = Window.orderBy("idx")
-    x = x.withColumn("block", F.sum(F.when(~F.col("bare") | ~F.col("led"), 1).otherwise(0)).over(order))
+    x = checkpoint(running_sum(x.withColumn("_cut", (~F.col("bare") | ~F.col("led")).cast("int")), "idx", "_cut", "block").drop("_cut"))
     fields = ["source_id", "title", "director", "year"]
     row = F.struct(*fields)
 

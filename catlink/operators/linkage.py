@@ -128,15 +128,20 @@ def score_constituents(x: DataFrame) -> DataFrame:
     return x.withColumn("score", score.cast("int"))
 
 
-def score_hints(x: DataFrame) -> DataFrame:
-    """Adds score and confidence of web hints: title, sources (primary, original, aka), own and hinted names, candidates."""
-    key = T.hint_key(F.col("title"))
+def hint_sides(catalog: DataFrame, reference: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the keys that hint scores compare, made once for each row: title and director; titles and names."""
     people = lambda a: F.filter(F.transform(a, T.hint_person), lambda n: n != "")
+    c = catalog.withColumns({"_h": T.hint_key(F.col("title")), "_hinted": people(T.split_names(F.col("director")))})
+    return c, reference.withColumns({"_h1": T.hint_key(F.col("primary_title")), "_h2": T.hint_key(F.col("original_title")), "_named": people(F.col("names"))})
+
+
+def score_hints(x: DataFrame) -> DataFrame:
+    """Adds score and confidence to pairs of ``hint_sides`` with sources (primary, original, aka) and candidates."""
     score = (
-        F.when(T.hint_key(F.col("primary_title")) == key, 50).when(T.hint_key(F.col("original_title")) == key, 44).otherwise(0)
+        F.when(F.col("_h1") == F.col("_h"), 50).when(F.col("_h2") == F.col("_h"), 44).otherwise(0)
         + _points(F.array_contains("sources", "aka"), 18) + _points(F.arrays_overlap(F.col("sources"), F.array(F.lit("primary"), F.lit("original"))), 12)
         + F.when(F.col("kind") == "movie", 20).when(F.col("kind").isin("tvMovie", "video", "tvSpecial"), 10).when(F.col("kind") == "short", 4).otherwise(0)
-        + _points(F.size(F.array_intersect(people(F.col("names")), people(F.col("hinted")))) > 0, 14)
+        + _points(F.arrays_overlap("_named", "_hinted"), 14)
         + _points(F.col("start_year").cast("string").rlike("^[0-9]+$"), 2)
     )
     x = x.withColumn("score", score.cast("int"))

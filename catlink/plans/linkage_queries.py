@@ -122,8 +122,8 @@ def link_hint_scores(spark, d):
     index = keyed(allowed, "primary", "primary_title").unionByName(keyed(allowed, "original", "original_title")).unionByName(keyed(a.join(allowed.select("ref_id"), "ref_id", "left_semi"), "aka", "title")).distinct()
     hits = c.select("row_id", T.hint_key(F.col("title")).alias("key")).filter("key <> ''").join(index, "key")
     group = hits.groupBy("row_id").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.count_distinct("ref_id").alias("candidates"))
-    x = hits.select("row_id", "ref_id").distinct().join(group, "row_id").join(c, "row_id").join(r, "ref_id")
-    x = L.attach_names(x, k, p).withColumn("hinted", T.split_names(F.col("director")))
+    own, other = L.hint_sides(c, L.attach_names(r, k, p))
+    x = hits.select("row_id", "ref_id").distinct().join(group, "row_id").join(own, "row_id").join(other, "ref_id")
     return L.best_hint(L.score_hints(x), "row_id").select("row_id", "ref_id", "score", "candidates", "confidence")
 
 

@@ -43,7 +43,7 @@ def test_variants(spark):
 
 def test_names(spark):
     assert rows(spark, ["Joel and Ethan Coen, X & Y", " , ", "", None, "A y B et C"], T.split_names) == [(["Joel", "Ethan Coen", "X", "Y"],), ([","],), ([],), ([],), (["A", "B", "C"],)]
-    df = spark.createDataFrame([(["joel"], ["joel coen"], True), (["joel coen"], ["ethan coen"], False), ([], ["x"], False), ([""], [""], False)], "a array<string>, b array<string>, want boolean")
+    df = spark.createDataFrame([(["lee ann"], ["ann lee"], True), (["lee lee"], ["lee x"], True), (["joel"], ["joel coen"], True), (["joel coen"], ["ethan coen"], False), ([], ["x"], False), ([""], [""], False)], "a array<string>, b array<string>, want boolean")
     assert df.filter(T.name_sets_match(F.col("a"), F.col("b")) != F.col("want")).count() == 0
 
 
