@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -20,6 +22,23 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once for each session, for operators that run Python there.
+
+    Without it the workers would need the package on their own path.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_has_catlink", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._has_catlink = True
+
+
 def running_sum(rows: DataFrame, order: str, value: str, name: str) -> DataFrame:
     """Adds the running sum of ``value`` in the order of a unique column, without one task for all rows.
 

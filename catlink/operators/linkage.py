@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from catlink.functions import text as T
+from catlink.functions.runtime import ship
 
 #: Fixed values.
 FEATURE_KINDS = ("movie", "tvMovie", "video")
@@ -262,6 +263,7 @@ def fuzzy_two_pass(pairs: DataFrame) -> DataFrame:
     First pass: years within 2, score of 88 or more and 6 ahead of the next.  Second pass, for rows left:
     within 5, 92 or more.  Returns row_id, ref_id, score, method, reason; every row once.
     """
+    ship(pairs.sparkSession)
     key = T.normalize_title
     gap = F.abs(F.col("year").cast("int") - F.col("start_year").cast("int"))
     x = pairs.withColumn("gap", gap).withColumn("_t", F.greatest(token_sort_ratio(key(F.col("title")), key(F.col("primary_title"))), token_sort_ratio(key(F.col("title")), key(F.col("original_title")))))
