@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catlink.functions.runtime import ship
+
 SHORT_WORD = 256
 CACHE_WORDS = 200_000
 OUT_BYTES = 8 << 20
@@ -178,6 +180,7 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     """
     with open(vocabulary, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t")).mapInArrow(_encoder(spec), f"_i {kind}, n_tokens long, ids string, decoded string")
     return out.withColumnRenamed("_i", id_col)

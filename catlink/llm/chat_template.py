@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catlink.functions.runtime import ship
+
 DEFAULT_TEMPLATE = (
     "{% for message in messages %}{{ '### ' }}{{ message.role | escape }}{{ ': ' }}"
     "{% if message.role == 'assistant' %}{% generation %}{{ message.text | escape }}{% endgeneration %}"
@@ -460,6 +462,7 @@ def _pieces(template: str):
 
 def format_turns(conversations: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
     """(conv_id, turn, formatted, loss_spans) of each row: no exchange, for templates that are one loop over messages."""
+    ship(conversations.sparkSession)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     return rows.mapInArrow(_pieces(template), "conv_id long, turn long, formatted string, loss_spans array<struct<start:int,end:int>>")
 
@@ -470,6 +473,7 @@ def conversation_digests(conversations: DataFrame) -> DataFrame:
     A digest of a sequence needs the sequence in order, so each conversation streams through one
     task, sorted by an external sort and held one turn at a time, however long it is.
     """
+    ship(conversations.sparkSession)
     rows = conversations.select(F.col("conv_id").cast("long").alias("_i"), F.col("role").alias("_role"), F.col("text").alias("_text"), F.col("turn").cast("long").alias("_turn"))
     rows = rows.repartition("_i").sortWithinPartitions("_i", "_turn", "_role", "_text").select("_i", "_role", "_text")
     return rows.mapInArrow(_summaries(DEFAULT_TEMPLATE), f"_i long, {SUMMARY}").withColumnRenamed("_i", "conv_id")

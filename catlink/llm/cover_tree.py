@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint
+from catlink.functions.runtime import checkpoint, ship
 from catlink.operators.components import connected_components
 
 CELL_ROWS = 4096
@@ -242,6 +242,7 @@ def _tasks(cosine: float):
 def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", *, cosine: float = 0.98, cell_rows: int = CELL_ROWS, pivots: int = PIVOTS) -> DataFrame:
     """Returns (id, n_links, component_id, kept), one row for each input row."""
     spark = vectors.sparkSession
+    ship(spark)
     v = F.col("v")
     own = vectors.select(F.col(id_col).cast("long").alias("_i"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(v, lambda e: e != 0)

@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catlink.functions.runtime import ship
 from catlink.llm.textbytes import LOWER, Rolling, blocks, text_buffer, words
 
 K1, B = 1.2, 0.75
@@ -211,6 +212,7 @@ def _clean_rows(index, text_col: str):
 
 def _indexes(benchmark: DataFrame, shingle: int, similarity: float):
     """Broadcast indexes of the benchmark, one for each shard of bounded size."""
+    ship(benchmark.sparkSession)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("item_id is not null and text is not null").orderBy("item_id", "text")
     # document frequencies and lengths are those of all shards together
     frequency: Counter = Counter()

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint
+from catlink.functions.runtime import checkpoint, ship
 from catlink.llm.textbytes import LOWER, SPACE, Rolling, blocks, text_buffer, words
 
 HOT_WORDS = 200_000
@@ -266,6 +266,7 @@ def lattice_score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     base_score: log10 of the add-one word unigram estimate; score: the model's log10 probability.
     """
     spark = docs.sparkSession
+    ship(spark)
     send = spark.sparkContext.broadcast
     own = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
     held = F.coalesce(F.crc32(F.col("_i").cast("string").cast("binary")), F.lit(0)) % 7 == held_out

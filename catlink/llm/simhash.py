@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint
+from catlink.functions.runtime import checkpoint, ship
 from catlink.llm.textbytes import LOWER, SPACE, blocks, text_buffer, words
 from catlink.operators.components import connected_components
 
@@ -265,6 +265,7 @@ def close_links(distinct: DataFrame, value: str, radius: int, shard_rows: int =
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 4, radius: int = 4, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Returns (id, fingerprint long, component), one row for each input row."""
+    ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
     prints = checkpoint(own.mapInArrow(_fingerprint_rows(shingle), "_i long, _f long"))
     groups = prints.groupBy("_f").agg(F.min("_i").alias("_least"))
@@ -280,6 +281,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Texts move once, in the join with the kept rows.  Rows repeated with equal id and text are one
     document; rows without an id come after all others.
     """
+    ship(docs.sparkSession)
     key, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.col(text_col))
     own = docs.select(key.alias("_i"), F.col(text_col).alias("_t"), digest.alias("_h"))
     prints = checkpoint(own.mapInArrow(_with_digest(shingle), "_i long, _f long, _h long"))

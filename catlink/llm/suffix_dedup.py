@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint
+from catlink.functions.runtime import checkpoint, ship
 from catlink.llm.textbytes import Rolling, blocks, fmix, sliding_argmin, text_buffer
 
 ANCHOR_BYTES = 48
@@ -322,6 +322,7 @@ def suffix_dedup(
         raise ValueError("keep: none or first")
     if min_bytes < 16:
         raise ValueError("min_bytes: 16 at least")
+    ship(docs.sparkSession)
     own_id = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     own = docs.select(own_id.alias("_i"), F.col(text_col).alias("_t")).withColumn("_r", F.xxhash64("_i", "_t"))
     counted = checkpoint(own.mapInArrow(_count_stretches(min_bytes), "_r long, _i long, _k long, _d long, _c long"))

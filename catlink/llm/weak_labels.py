@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint
+from catlink.functions.runtime import checkpoint, ship
 from catlink.llm.textbytes import LOWER, Rolling, blocks, fmix, text_buffer, words
 
 LABELLED_ROWS, TRAIN_ROWS = 8000, 5000
@@ -232,6 +232,7 @@ def _smallest_shingle(block: Bytes, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def mine_lexicon(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of words, hashes of beginnings) of the lexicon."""
+    ship(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("_i"), (F.coalesce("toxic", F.lit(0)) > 0).cast("int").alias("_bad")).filter("_i is not null")
     known = known.groupBy("_i").agg(F.max("_bad").alias("_bad"))
     total = known.count()
