@@ -282,15 +282,16 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     document; rows without an id come after all others.
     """
     ship(docs.sparkSession)
-    key, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.col(text_col))
+    key, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     own = docs.select(key.alias("_i"), F.col(text_col).alias("_t"), digest.alias("_h"))
     prints = checkpoint(own.mapInArrow(_with_digest(shingle), "_i long, _f long, _h long"))
     nodes = connected_components(close_links(prints.select("_f").distinct(), "_f", radius)).withColumnsRenamed({"node": "_f", "component": "_root"})
     # one row for each fingerprint first, so that a large group of copies is summed where it lies
     least = prints.groupBy("_f").agg(F.min(F.struct("_i", "_h")).alias("_m")).join(nodes, "_f", "left")
     kept = least.groupBy(F.coalesce("_root", "_f").alias("_root")).agg(F.min("_m").alias("_m")).select("_m.*")
-    rows = docs.withColumns({"_i": key, "_h": digest}).join(kept, ["_i", "_h"], "left_semi")
-    return rows.dropDuplicates(["_i", "_h"]).select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # whatever the columns are called
+    rows = docs.select(whole, key.alias("_i"), digest.alias("_h")).join(kept, ["_i", "_h"], "left_semi")
+    return rows.dropDuplicates(["_i", "_h"]).select("_row.*")
 
 
 def _with_digest(shingle: int):

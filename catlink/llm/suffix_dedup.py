@@ -340,7 +340,7 @@ def suffix_dedup(
     judged = sent.mapInArrow(_judge_shards(min_bytes), "_r long, _d long, _any binary, _early binary")
     verdicts = told.join(judged, ["_r", "_d"], "left").filter((F.col("_f").bitwiseAND(FULL) > 0) | F.col("_any").isNotNull())
     verdicts = verdicts.groupBy("_r").agg(F.collect_list(F.struct("_d", "_f", "_any", "_early")).alias("_v"))
-    whole = docs.select(own_id.alias("_i"), F.col(text_col).alias("_t"), F.struct(*carry, F.lit(0).alias("_")).alias("carried")).withColumn("_r", F.xxhash64("_i", "_t"))
+    whole = docs.select(own_id.alias("_i"), F.col(text_col).alias("_t"), (F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(0).alias("none"))).alias("carried")).withColumn("_r", F.xxhash64("_i", "_t"))
     final = whole.join(verdicts, "_r", "left").select("_i", "_t", "_v", "carried")
     kind = final.schema["carried"].dataType.simpleString()
     out = final.mapInArrow(_remove(min_bytes, keep, whole_chars), f"_i long, n_bytes long, n_removed long, n_spans long, kept binary, carried {kind}")

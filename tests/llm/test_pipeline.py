@@ -63,3 +63,25 @@ def test_run(spark, folder):
     top, docs, _, _ = folder
     out = corpus_pipeline.run(spark, top)
     assert out.columns == ["doc_id", "n_tokens", "ids", "decoded"] and 0 < out.count() < len(docs)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _i int, _row string, carried string, score int, kept int"
+
+
+def test_stages_handle_odd_rows(spark, folder):
+    top, docs, items, _ = folder
+    odd = [
+        (None, None, None, None, None, 1, "a", "b", 2, 3), (None, "only words here", None, None, None, None, None, None, None, None), (1, "", "en", "s", 0, 1, "a", "b", 2, 3), (1, "", "en", "s", 0, 1, "a", "b", 2, 3),
+        (2, "x" * 50_000, "en", "s", 1, 1, "a", "b", 2, 3), (3, "word " * 40_000, "en", "s", 1, 1, "a", "b", 2, 3), (4, docs[0], "en", "s", 1, 1, "a", "b", 2, 3), (5, docs[0], "en", "s", 1, 1, "a", "b", 2, 3), (5, docs[0], "en", "s", 1, 1, "a", "b", 2, 3),
+    ]
+    frame = spark.createDataFrame(odd, SCHEMA)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, top)
+        assert out.columns == frame.columns, name
+        rows = out.collect()
+        assert len(rows) <= len(odd) and {r.score for r in rows} <= {2, None}, name
+        if name == "SimHash near-dedup":  # all texts without words are one group; so are the copies
+            assert sorted(str(r.doc_id) for r in rows) == ["1", "2", "3", "4", "None"]
+        assert stage(spark, frame.limit(0), top).count() == 0
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, frame, top).count() == len(odd) and last(spark, frame.limit(0), top).count() == 0
