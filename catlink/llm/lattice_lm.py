@@ -260,7 +260,7 @@ def read_pieces(path: str) -> tuple[list[bytes], list[int], np.ndarray]:
     return strings, byte_piece, np.log(weight / weight.sum())
 
 
-def lattice_score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", *, held_out: int = 2, rounds: int = 1, hot_words: int = HOT_WORDS) -> DataFrame:
+def lattice_score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", *, held_out: int = 2, rounds: int = 3, hot_words: int = HOT_WORDS) -> DataFrame:
     """Returns (id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each input row.
 
     base_score: log10 of the add-one word unigram estimate; score: the model's log10 probability.
