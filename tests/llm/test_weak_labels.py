@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -71,3 +72,15 @@ def test_classifier(spark):
 
 def test_votes_are_bit_patterns():
     assert votes(np.eye(len(NAMES))).tolist() == [1 << j for j in range(len(NAMES))]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables here")
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    mine = labels.filter("doc_id % 2 = 0")  # the lexicon sees these; the rest is held out
+    rows = classify(docs, mine).join(labels.filter("doc_id % 2 = 1"), "doc_id").collect()
+    bad = [r for r in rows if r.quality == 0 or r.toxic == 1]
+    clean = [r for r in rows if r.quality == 1 and r.toxic == 0]
+    assert len(rows) > 1000
+    assert sum(r.rejected for r in bad) >= 0.95 * len(bad)
+    assert sum(r.rejected for r in clean) <= 0.005 * len(clean)
