@@ -158,11 +158,14 @@ def linked(values: np.ndarray, radius: int) -> np.ndarray:
         rest = np.arange(i, len(leaves))
         if len(vantages):
             rest = rest[((low[rest] - radius <= high[i]) & (high[rest] + radius >= low[i])).all(axis=1)]
-        others = np.concatenate([leaves[j] for j in rest])
-        near = np.bitwise_count(values[leaf][:, None] ^ values[others][None, :]) <= radius
-        near[np.arange(len(leaf)), np.arange(len(leaf))] = False  # the leaf itself stands first
-        out[leaf] |= near.any(axis=1)
-        out[others] |= near.any(axis=0)
+        every = np.concatenate([leaves[j] for j in rest])
+        for at in range(0, len(every), 1 << 16):  # bounds the block, whatever the shard's size
+            others = every[at : at + (1 << 16)]
+            near = np.bitwise_count(values[leaf][:, None] ^ values[others][None, :]) <= radius
+            if at == 0:
+                near[np.arange(len(leaf)), np.arange(len(leaf))] = False  # the leaf itself stands first
+            out[leaf] |= near.any(axis=1)
+            out[others] |= near.any(axis=0)
     return out
 
 

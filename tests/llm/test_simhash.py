@@ -64,3 +64,14 @@ def test_vantage_tree_is_exact():
     for v in values[::7]:
         want = np.flatnonzero((np.bitwise_count(values ^ v) <= 4) & tree.alive)
         assert sorted(tree.within(v, 4).tolist()) == want.tolist()
+
+
+def test_linked_matches_brute_force():
+    from catlink.llm.simhash import linked
+
+    rng = np.random.default_rng(6)
+    values = np.unique(np.concatenate([rng.integers(0, 2**63, 500, dtype=np.uint64), np.uint64(12345) ^ (np.uint64(1) << rng.integers(0, 63, 40, dtype=np.uint64))]))
+    for radius in (0, 2, 7, 20):
+        near = np.bitwise_count(values[:, None] ^ values[None, :]) <= radius
+        np.fill_diagonal(near, False)
+        assert (linked(values, radius) == near.any(axis=1)).all()
