@@ -12,6 +12,8 @@ threshold, 1, retrieves without loss for all items.
   bounds of all passages of a batch are computed together, from half windows that neighbours share.
 * *Scores.*  What remains is scored exactly, and all items at the threshold are retrieved, never a
   top k.
+* *Words* are the runs between whitespace and punctuation, so a quote, bracket or full stop that
+  touches a passage's edge changes none of its words.
 * *Verification.*  Question (an item without its last sentence) and answer (the last sentence; an
   item of one sentence is halved) must each have ``similarity`` of their ``shingle``-word
   shingles in the passage; a part of fewer words is one shingle.
@@ -20,7 +22,7 @@ The index is broadcast in shards of ``SHARD_ITEMS`` items of ``SEGMENT_WORDS`` w
 bound; longer items are retrieved by any of their segments and verified whole.  Documents are
 never shuffled, so a hot source or group of copies needs no care.
 
-Cases: null and empty texts match nothing; items without words are never found; items of equal
+Cases: null and empty texts match nothing; items without words (punctuation only) are never found; items of equal
 text are found each; repeated documents are reported each; empty tables give an empty result.
 """
 
@@ -43,15 +45,37 @@ BLOCK_ITEMS = 8
 SEGMENT_WORDS = 512
 SHARD_ITEMS = 2048
 SLACK = 1e-3
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"(?<=[.!?])[ \t]+|[\r\n]+")
-_LOWER = bytes(LOWER)
+#: Lower-cases A-Z; ASCII other than letters and digits becomes a space.
+_PLAIN = LOWER.copy()
+_PLAIN[[i for i in range(128) if not chr(i).isalnum()]] = 0x20
+
+
+def plain(data: np.ndarray) -> np.ndarray:
+    """A copy of UTF-8 bytes with letters up to U+00DE lower-cased and punctuation as spaces, of the same length."""
+    out = _PLAIN[data]
+    lead = np.flatnonzero(data[:-1] >= 0xC2)
+    second = data[lead + 1]
+    capital = lead[(data[lead] == 0xC3) & (second <= 0x9E) & (second != 0x97)] + 1
+    out[capital] += 0x20
+    # U+00A0 to U+00BF but for ordinals, micro, superscripts and fractions
+    at = lead[(data[lead] == 0xC2) & np.isin(second, [*range(0xA0, 0xAA), *range(0xAB, 0xB2), 0xB4, *range(0xB6, 0xB9), 0xBB, 0xBF])]
+    out[at] = out[at + 1] = 0x20
+    # U+2000 to U+206F, and full stops, commas and brackets of CJK text
+    three = lead[(lead + 2 < len(data)) & (data[lead] >= 0xE2)]
+    a, b, c = data[three], data[three + 1], data[three + 2]
+    general = (a == 0xE2) & ((b == 0x80) | ((b == 0x81) & (c < 0xB0)))
+    cjk = (a == 0xE3) & (b == 0x80) & ((c <= 0x83) | ((c >= 0x88) & (c <= 0xA0) & (c != 0x92) & (c != 0x93)))
+    full = (a == 0xEF) & (((b == 0xBC) & (((c >= 0x81) & (c <= 0x8F)) | ((c >= 0x9A) & (c <= 0xA0)) | (c >= 0xBB))) | ((b == 0xBD) & (((c >= 0x9B) & (c <= 0xA4)) | (c == 0x80))))
+    at = three[general | cjk | full]
+    out[at] = out[at + 1] = out[at + 2] = 0x20
+    return out
 
 
 def split_words(text: str | bytes) -> list[bytes]:
-    """Words with A-Z lower-cased."""
+    """Words in lower case (``plain``), without punctuation."""
     raw = text.encode() if isinstance(text, str) else text
-    return _WORD.findall(raw.translate(_LOWER))
+    return plain(np.frombuffer(raw, np.uint8)).tobytes().split()
 
 
 def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
@@ -131,7 +155,7 @@ class BlockMaxIndex:
         """(row, item, first word, score, question overlap, answer overlap) of verified matches, one for each row and item."""
         if not len(self.mark):
             return []
-        lowered = LOWER[data]
+        lowered = plain(data)
         start, end, row = words(lowered, offsets)
         if not len(start):
             return []

@@ -49,3 +49,14 @@ def test_matches_brute_force(spark, monkeypatch):
     found = {(r.doc_id, r.item_id) for r in contaminated(frame, bench).collect()}
     assert found >= {(d, i) for d, i in want if dict(docs)[d] and dict(items)[i].lower() in dict(docs)[d].lower()}
     assert contaminated(frame.limit(0), bench).count() == 0 and contaminated(frame, bench.limit(0)).count() == 0
+
+
+def test_passages_that_touch_other_text(spark):
+    short, long = "What is the name of the river there? It is Oka.", "one two three four five six seven eight. Ten lovely small words end this item of the list."
+    bench = spark.createDataFrame([(1, short), (2, long), (3, "ÉTÉ à la mer. Où ça")], "item_id long, text string")
+    texts = [f"he said “{x}” and left" for x in (short, long)] + [f"see ({x[:-1]})&&&more" for x in (short, long)] + [f"so:{x}Next" for x in (short, long)]
+    texts += [f"«{short.upper()}»", "l'été à la mer. où ça!!", short.replace("Oka", "Don"), "what is the name of the river there"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {(0, 1), (1, 2), (2, 1), (3, 2), (4, 1), (5, 2), (6, 1), (7, 3)}
+    assert {(r.doc_id, r.item_id) for r in contaminated(frame, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate.drop_contaminated(frame, bench).collect()} == {8, 9}
