@@ -34,20 +34,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catlink.functions.runtime import checkpoint, ship
-from catlink.llm.textbytes import LOWER, SPACE, blocks, text_buffer, words
+from catlink.llm.textbytes import LOWER, SPACE, blocks, fmix, text_buffer, words
 from catlink.operators.components import connected_components
 
 LEAF = 64
 SHARD_ROWS = 20_000
 
 
-def fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = 4) -> np.ndarray:
-    """Fingerprint of each row's bytes."""
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all rows' word shingles, row of each, shingles of each row)."""
     n = len(offsets) - 1
-    out = np.zeros(n, np.uint64)
     start, end, row = words(data, offsets)
     if len(start) == 0:
-        return out
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(n, np.int64)
     # one space after each word, nothing else between: every shingle is then one slice
     keep = ~SPACE[data]
     gap = end[end < len(data)]
@@ -65,20 +64,31 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = 4) -> np.
     first = (last - count)[owner] + nth
     final = np.minimum(first + shingle, last[owner]) - 1
     raw, digest = text.tobytes(), xxhash.xxh64_intdigest
-    some = np.flatnonzero(shingles)
-    begin = np.append((np.cumsum(shingles) - shingles)[some], len(owner))
     hashes = np.fromiter((digest(raw[a:b], 42) for a, b in zip(start[first].tolist(), end[final].tolist(), strict=True)), np.uint64, len(owner))
-    step, at = 1 << 16, 0
-    totals = np.zeros((n, 64), np.int64)
-    while at < len(hashes):
-        bits = np.unpackbits(hashes[at : at + step].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        rows = owner[at : at + step]
-        edge = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        totals[rows[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.int64)
-        at += step
-    assert begin[-1] == len(owner)
-    over = totals * 2 > shingles[:, None]
-    return np.packbits(over, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
+    return hashes, owner, shingles
+
+
+def fingerprints(data: np.ndarray, offsets: np.ndarray, shingle: int = 4) -> np.ndarray:
+    """Fingerprint of each row's bytes."""
+    return fingerprint_family(data, offsets, shingle, 1)[0]
+
+
+def fingerprint_family(data: np.ndarray, offsets: np.ndarray, shingle: int, members: int) -> list[np.ndarray]:
+    """The fingerprint of each row's bytes and further ones, from the same hashes mixed anew."""
+    hashes, owner, shingles = shingle_hashes(data, offsets, shingle)
+    out = []
+    for k in range(members):
+        totals = np.zeros((len(shingles), 64), np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            some, rows = hashes[at : at + (1 << 16)], owner[at : at + (1 << 16)]
+            if k:
+                some = fmix(some + np.uint64(k))
+            bits = np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            edge = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+            totals[rows[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.int64)
+        over = totals * 2 > shingles[:, None]
+        out.append(np.packbits(over, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64))
+    return out
 
 
 class VantageTree:
@@ -278,33 +288,117 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(named, "_f").select(F.col("_i").alias(id_col), F.col("_f").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 2, radius: int = 7) -> DataFrame:
-    """The rows of ``docs`` with one of each group kept: the smallest id, then the smallest hash of the text.
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 2, radius: int = 8, members: int = 4, words_each: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """The rows of ``docs`` without those that are near copies of a row that stays.
+
+    Texts are candidates for each other when links of any of ``members`` fingerprints reach from one
+    to the other.  In each group of candidates, by id and then by hash of the text, a text stays
+    unless its ``words_each``-word shingles have a Jaccard similarity of ``similarity`` with those of
+    one that stays.  Shingles are compared as 64-bit hashes; texts without words are equal.
 
-    Texts move once, in the join with the kept rows.  Rows repeated with equal id and text are one
-    document; rows without an id come after all others.
+    Rows repeated with equal id and text are one document; rows without an id come after all others.
     """
     ship(docs.sparkSession)
     key, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     own = docs.select(key.alias("_i"), F.col(text_col).alias("_t"), digest.alias("_h"))
-    prints = checkpoint(own.mapInArrow(_with_digest(shingle), "_i long, _f long, _h long"))
-    nodes = connected_components(close_links(prints.select("_f").distinct(), "_f", radius)).withColumnsRenamed({"node": "_f", "component": "_root"})
-    # one row for each fingerprint first, so that a large group of copies is summed where it lies
-    least = prints.groupBy("_f").agg(F.min(F.struct("_i", "_h")).alias("_m")).join(nodes, "_f", "left")
-    kept = least.groupBy(F.coalesce("_root", "_f").alias("_root")).agg(F.min("_m").alias("_m")).select("_m.*")
+    names = [f"_f{k}" for k in range(members)]
+    prints = own.mapInArrow(_family(shingle, names), ", ".join(f"{c} long" for c in ["_i", "_h", *names]))
+    # one row for each text first, so that a large group of copies is summed where it lies
+    texts = checkpoint(prints.groupBy("_h", *names).agg(F.min("_i").alias("_i")))
+    node = {c: F.xxhash64(F.lit(k), F.col(c)) for k, c in enumerate(names)}
+    edges = None
+    for k, c in enumerate(names):
+        links = close_links(texts.select(c).distinct(), c, radius).select(*[F.xxhash64(F.lit(k), F.col(x)).alias(x) for x in ("src", "dst")])
+        if k:  # fingerprints of one text belong together
+            links = links.unionByName(texts.select(node[names[0]].alias("src"), node[c].alias("dst")))
+        edges = links if edges is None else edges.unionByName(links)
+    roots = connected_components(edges).withColumnsRenamed({"node": "_n", "component": "_root"})
+    grouped = checkpoint(texts.select("_i", "_h", node[names[0]].alias("_n")).join(roots, "_n", "left").select("_i", "_h", F.coalesce("_root", "_n").alias("_root")))
+    several = grouped.groupBy("_root").count().filter("count > 1").select("_root")
+    asked = grouped.join(several, "_root")
+    sent = own.join(asked, ["_i", "_h"]).select("_root", "_i", "_h", "_t").mapInArrow(_shingle_sets(words_each), "_root long, _i long, _h long, _s binary")
+    sent = sent.repartition("_root").sortWithinPartitions("_root", "_i", "_h")
+    gone = sent.mapInArrow(_near_copies(similarity), "_h long")
+    kept = grouped.select("_i", "_h").join(gone, "_h", "left_anti")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # whatever the columns are called
     rows = docs.select(whole, key.alias("_i"), digest.alias("_h")).join(kept, ["_i", "_h"], "left_semi")
     return rows.dropDuplicates(["_i", "_h"]).select("_row.*")
 
 
-def _with_digest(shingle: int):
-    inner = _fingerprint_rows(shingle)
+def _family(shingle: int, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("_t"))
+            for a, b in blocks(offsets):
+                made = fingerprint_family(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle, len(names))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("_i", "_h")], *[pa.array(x.view(np.int64)) for x in made]], names=["_i", "_h", *names])
+
+    return run
+
+
+def _shingle_sets(shingle: int):
+    """Sorted distinct shingle hashes of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("_t"))
+            for a, b in blocks(offsets):
+                hashes, _, count = shingle_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle)
+                ends = np.cumsum(count)
+                sets = [np.unique(hashes[e - c : e]).tobytes() for e, c in zip(ends.tolist(), count.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("_root", "_i", "_h")], pa.array(sets, pa.binary())], names=["_root", "_i", "_h", "_s"])
+
+    return run
+
+
+class Representatives:
+    """The texts of a group that stay, found by the smallest shingles that similar sets must share."""
+
+    def __init__(self, similarity: float):
+        self.similarity = similarity
+        self.sets: list[np.ndarray] = []
+        self.by_hash: dict[int | None, list[int]] = {}
+
+    def covers(self, own: np.ndarray) -> bool:
+        """Whether one of them is similar to a set of sorted hashes; if none is, the set becomes one."""
+        n = len(own)
+        # sets with the similarity share ceil(similarity n) hashes at least, so one of the others and one more
+        first = own[: n - int(np.ceil(self.similarity * n - 1e-9)) + 1].tolist() if n else [None]
+        tried: set[int] = set()
+        for h in first:
+            for j in self.by_hash.get(h, ()):
+                if j in tried:
+                    continue
+                tried.add(j)
+                other = self.sets[j]
+                if n == 0:
+                    return True
+                if min(n, len(other)) < self.similarity * max(n, len(other)) - 1e-9:
+                    continue
+                same = len(np.intersect1d(own, other, assume_unique=True))
+                if same >= self.similarity * (n + len(other) - same) - 1e-9:
+                    return True
+        for h in first:
+            self.by_hash.setdefault(h, []).append(len(self.sets))
+        self.sets.append(own)
+        return False
+
+
+def _near_copies(similarity: float):
+    """Streams a partition sorted by group, id and hash; holds the texts of one group that stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, stay, before = None, Representatives(similarity), None
         for batch in batches:
-            at = 0
-            for out in inner(iter([batch])):
-                yield out.append_column("_h", batch.column("_h").slice(at, out.num_rows))
-                at += out.num_rows
+            roots, digests, gone = batch.column("_root").to_pylist(), batch.column("_h").to_pylist(), []
+            for root, h, s in zip(roots, digests, batch.column("_s"), strict=True):
+                if root != last:
+                    last, stay, before = root, Representatives(similarity), None
+                if h != before and stay.covers(np.frombuffer(s.as_py(), np.uint64)):  # repeated rows stand together
+                    gone.append(h)
+                before = h
+            yield pa.RecordBatch.from_arrays([pa.array(gone, pa.int64())], names=["_h"])
 
     return run

@@ -18,8 +18,8 @@ from catlink.llm.weak_labels import drop_rejected
 
 #: Repeated passages from this many bytes on lose their later copies: under 50 words of usual length.
 PASSAGE_BYTES = 240
-#: Shingle and radius that catch pairs of five-word similarity 0.8 in about nine of ten cases (README).
-SHINGLE, RADIUS = 2, 7
+#: Shingle and radius of the candidates, which then need a five-word similarity of 0.8.
+SHINGLE, RADIUS = 2, 8
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

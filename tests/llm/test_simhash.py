@@ -75,3 +75,29 @@ def test_linked_matches_brute_force():
         near = np.bitwise_count(values[:, None] ^ values[None, :]) <= radius
         np.fill_diagonal(near, False)
         assert (linked(values, radius) == near.any(axis=1)).all()
+
+
+def test_near_duplicates_are_verified(spark):
+    from catlink.llm.simhash import drop_near_duplicates
+
+    random.seed(31)
+    words = ["".join(random.choices("abcdefghijklmnop", k=random.randint(3, 9))) for _ in range(2000)]
+    docs = {}
+    for i in range(60):
+        base = random.choices(words, k=200)
+        for j, edits in enumerate((0, 1, 3, 8, 10)):  # scattered; five-word similarity 1, 0.95, 0.86, 0.67, 0.6
+            w = list(base)
+            for k in range(edits):
+                w[5 + k * (190 // max(edits, 1))] = f"edited{j}x{k}"
+            docs[10 * i + j] = " ".join(w)
+        docs[10 * i + 5] = "  ".join(base).upper()
+        docs[10 * i + 6] = " ".join(base[:180] + random.choices(words, k=20))  # 0.81, in one place
+    docs |= {9000: "", 9001: None, 9002: " "}
+    shingles = {d: {tuple((t or "").lower().split()[i : i + 5]) for i in range(max(1, len((t or "").split()) - 4))} for d, t in docs.items()}
+    alike = lambda a, b: len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b]) >= 0.8
+    kept = {r.doc_id for r in drop_near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    for d in docs.keys() - kept:
+        assert any(alike(d, k) for k in kept if k < d)
+    close = [(a, b) for a in kept for b in range(a + 1, a + 10) if b in kept and alike(a, b)]
+    assert len(close) <= 6 and len([d for d in kept if d % 10 in (3, 4) and d < 9000]) == 120
+    assert kept >= {10 * i for i in range(60)} and kept & {9000, 9001, 9002} == {9000}
