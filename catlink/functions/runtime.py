@@ -10,18 +10,50 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that the cluster names in ``spark.checkpoint.dir``.
+#: Keys that ``lookup`` may broadcast, at most.
+HOT_KEYS = 10_000
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``, or the one set by the caller.
 
-    Only where neither that setting nor a folder set by the caller exists, as in local tests, a
-    temporary folder is used.
+    Only in local mode, as in tests, where driver and executors are one process, a temporary folder
+    stands in for it; on a cluster a missing setting is an error.
     """
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    context = spark.sparkContext
+    top = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if top:
+        return top.rstrip("/")
+    if context.master != "local" and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    root, context = shared_root(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return df.checkpoint(eager=True)
 
 
+def lookup(left: DataFrame, right: DataFrame, key: str, rows: int, count: str = "_n") -> DataFrame:
+    """``left`` joined to ``right``, which has one row for each key and in ``count`` how many of the ``rows`` rows of ``left`` have it.
+
+    Keys with more than a ``HOT_KEYS``-th of all rows are looked up in a broadcast of ``HOT_KEYS`` rows
+    at most, so the rows of a hot key stay where they are; the others are joined as ever.
+    """
+    limit = max(512, rows // HOT_KEYS)
+    if rows < 4 * limit:
+        return left.join(right.drop(count), key)
+    more = [c for c in right.columns if c not in (key, count)]
+    hot = right.filter(F.col(count) > limit).select(key, F.struct(*more).alias("_hot"))
+    told = left.join(F.broadcast(hot), key, "left")
+    spread = told.filter("_hot is not null").select(*left.columns, *[F.col(f"_hot.{c}").alias(c) for c in more])
+    return spread.unionByName(told.filter("_hot is null").drop("_hot").join(right.drop(count), key).select(*left.columns, *more))
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once for each session, for operators that run Python there.
 

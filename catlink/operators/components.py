@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
 Each step replaces edges by edges to the smallest neighbour, so a component collapses into a star
-in about log(diameter) rounds.  A node's smallest neighbour is a partial aggregate and is joined
-back, so a hub of any degree is never gathered in one task.
+in about log(diameter) rounds.  A node's smallest neighbour is a partial aggregate; a hub's edges
+look it up in a broadcast of bounded size (``lookup``), so they are never gathered in one task.
 """
 
 from __future__ import annotations
@@ -10,24 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint
+from catlink.functions.runtime import checkpoint, lookup
 
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = _both(edges)
-    least = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
-    joined = both.join(least, "src").filter("dst > src")
+    least = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"), F.count("*").alias("_n"))
+    joined = lookup(both, least, "src", 2 * rows).filter("dst > src")
     return joined.select(F.col("dst").alias("src"), F.col("low").alias("dst")).filter("src <> dst").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     down = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-    least = down.groupBy("src").agg(F.min("dst").alias("low"))
-    moved = down.join(least, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+    least = down.groupBy("src").agg(F.min("dst").alias("low"), F.count("*").alias("_n"))
+    moved = lookup(down, least, "src", rows).select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     return moved.unionByName(least.select("src", F.col("low").alias("dst"))).filter("src <> dst").distinct()
 
 
@@ -45,7 +45,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         if state == seen or state[0] == 0:
             break
         seen = state
-        now = checkpoint(_small_star(_large_star(now)))
+        now = checkpoint(_small_star(_large_star(now, state[0]), state[0]))
     members = now.select(F.col("src").alias("node"), F.col("dst").alias("component"))
     roots = now.select(F.col("dst").alias("node"), F.col("dst").alias("component"))
     return members.unionByName(roots).unionByName(loops).groupBy("node").agg(F.min("component").alias("component"))
