@@ -44,7 +44,9 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from catlink.llm.suffix_dedup import suffix_dedup
 
     out = suffix_dedup(_table(spark, sf_dir, "documents"), min_bytes=400)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    # what is left, as text: a removal may end inside a character, whose other bytes show as U+FFFD there
+    left = F.make_valid_utf8(F.col("kept").cast("string"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left.alias("kept_text"))
 
 
 #: Tokenizer versions of the rollup query, as regular expressions of their tokens.
@@ -53,7 +55,10 @@ PIECES_2 = r"\p{L}+|\p{N}|[^\x20\x09-\x0D\p{L}\p{N}]+"
 
 
 def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loads estimates, revises them to counts, adds a tokenizer version, deletes later copies, repeats a batch."""
+    """Loads estimates, revises them to counts, adds a tokenizer version, deletes later copies, repeats a batch.
+
+    Of rows with one text the smallest id stays; without any id, none of them is a later copy.
+    """
     from catlink.functions.runtime import checkpoint
     from catlink.llm.token_rollup import RollupStore, changes, shared_folder
 
@@ -66,7 +71,7 @@ def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     first = counted.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    copies = counted.join(first, ["doc_id", "digest"], "left_anti")
+    copies = counted.join(first.withColumnsRenamed({"digest": "_g", "doc_id": "_first"}), (F.col("digest") == F.col("_g")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left_anti")
     store = RollupStore(spark, shared_folder(spark, "rollup"))
     store.commit("load", changes(counted, "words@1", 1, "estimate"))
     store.commit("recount", changes(counted, "words@1", 0, "words", was="estimate"))
@@ -131,7 +136,7 @@ WITH d AS (
   SELECT *, len(regexp_extract_all(coalesce(text, ''), '{WORDS_1}')) AS words, len(regexp_extract_all(coalesce(text, ''), '{PIECES_2}')) AS pieces,
     min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
   FROM documents
-), kept AS (SELECT * FROM d WHERE doc_id = first)
+), kept AS (SELECT * FROM d WHERE doc_id IS NOT DISTINCT FROM first)
 SELECT source, lang, 'words@1' AS tokenizer, count(*)::BIGINT AS documents, sum(words)::BIGINT AS tokens FROM kept GROUP BY source, lang
 UNION ALL SELECT source, lang, 'pieces@2', count(*)::BIGINT, sum(pieces)::BIGINT FROM kept GROUP BY source, lang
 """

@@ -13,7 +13,12 @@ How the suffix order is spread over a cluster
    Consecutive windows with one anchor form a *stretch*, which is what gets counted and moved:
    about one for each 150 bytes of text, carrying hashes, no text.
 2. *Whole stretches.*  Counting (anchor, digest of the stretch) with map-side partial sums
-   settles exact repeats, however many copies there are, with one row per task and key.
+   settles exact repeats, however many copies there are, with one row per task and key.  Anchor and
+   digest are two 64-bit polynomial fingerprints of different byte ranges; two different stretches
+   are taken for equal only if both collide, about n * n / 2 ** 129 for n stretches of unrelated
+   bytes.  (Polynomials modulo 2 ** 64 have colliding texts that can be constructed; random odd values
+   for the bytes and the finaliser keep such texts from being the same for every table, not for an
+   adversary who knows the seed.)
 3. *Suffix order.*  Where one anchor has several different stretches, one representative of each
    is sent to the anchor's shard with its bytes.  There the windows' suffixes are put in suffix
    order to depth ``min_bytes`` (so suffixes that share a prefix of that length are neighbours,
@@ -22,7 +27,8 @@ How the suffix order is spread over a cluster
 4. *Removal.*  Verdicts go back to their documents, whose windows are found again by the same
    deterministic rule.
 
-Cases: a null text is an empty one; texts shorter than ``min_bytes`` are kept whole; an empty
+Cases: ids are integers, or text that reads as one; a null text is an empty one; texts shorter than ``min_bytes`` are kept whole; a very
+long text is a block of its own, moved and held whole by one task; an empty
 table gives an empty result; rows repeated with the same id and text count as further copies
 under ``keep="none"`` and as one document under ``keep="first"``; other columns of the input are
 ignored, whatever their names.
@@ -35,10 +41,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint, ship
+from catlink.functions.runtime import checkpoint, lookup, ship
 from catlink.llm.textbytes import Rolling, blocks, fmix, sliding_argmin, text_buffer
 
 ANCHOR_BYTES = 48
@@ -328,8 +334,11 @@ def suffix_dedup(
     counted = checkpoint(own.mapInArrow(_count_stretches(min_bytes), "_r long, _i long, _k long, _d long, _c long"))
     order = F.min(F.struct(F.col("_i"), F.col("_r")))
     by_stretch = counted.groupBy("_k", "_d").agg(F.sum("_c").alias("_n"), order.alias("_first"))
-    shard = Window.partitionBy("_k")
-    status = by_stretch.withColumn("_kinds", F.count("*").over(shard)).filter("_n >= 2 or _kinds >= 2")
+    by_stretch = checkpoint(by_stretch)
+    # kinds of an anchor are counted by partial sums, and a hot anchor's stretches aren't gathered to learn the count
+    kinds = by_stretch.groupBy("_k").agg(F.count("*").alias("_kinds"))
+    kinds = kinds.withColumn("_rows", F.col("_kinds"))
+    status = lookup(by_stretch, kinds, "_k", by_stretch.count(), "_rows").filter("_n >= 2 or _kinds >= 2")
     status = status.select("_k", "_d", F.col("_first._r").alias("_owner"), (F.when(F.col("_kinds") >= 2, NEED).otherwise(0) + F.when(F.col("_n") >= 2, FULL).otherwise(0)).alias("_s"))
     told = counted.select("_r", "_k", "_d").distinct().join(status, ["_k", "_d"]).withColumn("_f", F.col("_s") + F.when(F.col("_r") == F.col("_owner"), OWNER).otherwise(0)).select("_r", "_d", "_f")
     told = checkpoint(told)
