@@ -18,9 +18,14 @@ Search of distinct fingerprints only (exact copies collapse first, by a partial
   already reached leave the tree, so a dense cluster costs about one query for each member and
   no pair is ever emitted, only one edge from each member to its component's first.
 
-Cases: a null text is an empty one; texts without words have fingerprint 0 and link like any
-other; an empty table gives an empty result; repeated rows stay, each with its component;
-rows without an id take part, and are no component's name unless nothing else is.
+A fingerprint that many documents share, and the root of a large component, are looked up in a
+broadcast of bounded size, so their rows are not gathered.
+
+Cases: ids are integers, or text that reads as one; a null text is an empty one; texts without words
+have fingerprint 0 and link like any other; a very long text is a block of its own, held whole by
+one task; an empty table gives an empty result; repeated rows stay, each with its component; rows
+without an id take part, and are no component's name unless nothing else is; other columns of the
+input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint, ship
+from catlink.functions.runtime import checkpoint, lookup, ship
 from catlink.llm.textbytes import LOWER, SPACE, blocks, fmix, text_buffer, words
 from catlink.operators.components import connected_components
 
@@ -281,11 +286,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ship(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
     prints = checkpoint(own.mapInArrow(_fingerprint_rows(shingle), "_i long, _f long"))
-    groups = prints.groupBy("_f").agg(F.min("_i").alias("_least"))
+    groups = checkpoint(prints.groupBy("_f").agg(F.min("_i").alias("_least"), F.count("*").alias("_n")))
+    size = groups.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
     nodes = connected_components(close_links(groups.select("_f"), "_f", radius, shard_rows)).withColumnRenamed("node", "_f")
-    grouped = groups.join(nodes, "_f", "left").withColumn("_root", F.coalesce("component", "_f")).select("_f", "_root", "_least")
-    named = grouped.join(grouped.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("_f", "component_id")
-    return prints.join(named, "_f").select(F.col("_i").alias(id_col), F.col("_f").alias("fingerprint"), "component_id")
+    grouped = checkpoint(groups.join(nodes, "_f", "left").withColumn("_root", F.coalesce("component", "_f")).select("_f", "_root", "_least", "_n"))
+    roots = grouped.groupBy("_root").agg(F.min("_least").alias("component_id"), F.count("*").alias("_m"))
+    named = lookup(grouped, roots, "_root", size["kinds"], "_m").select("_f", "component_id", "_n")
+    return lookup(prints, named, "_f", size["rows"]).select(F.col("_i").alias(id_col), F.col("_f").alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(
