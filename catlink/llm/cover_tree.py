@@ -3,7 +3,8 @@
 Vectors are compared only when their labels are equal and not null.  They are unit vectors under
 Euclidean distance, so cosine >= threshold is distance <= sqrt(2 - 2 threshold).
 
-* Equal vectors of a label collapse to one class with a count first (a partial aggregate).
+* Equal vectors of a label collapse to one class with a count first (a partial aggregate); a class with
+  very many vectors, and the root of a large component, are looked up in a bounded broadcast.
 * A large label is dealt into cells around pivots, and a cell of more than ``cell_rows`` classes
   into further units, so no task holds more than two units.  Pairs of units are pruned by pivot
   distance and covering radii; the remaining ones are the tasks.
@@ -14,9 +15,14 @@ Euclidean distance, so cosine >= threshold is distance <= sqrt(2 - 2 threshold).
 * No pair is emitted: a task returns each class's number of close vectors and edges that connect
   the close ones, at most one for each class and opened pair of nodes.
 
-Cases: a null label, a null or zero vector, and one with null or non-finite components link with
+Vectors that no bound tells apart (unrelated ones in many dimensions are all about as far from
+each other) are compared in blocks: within a label, work then grows with the square of its classes,
+spread over pairs of units.
+
+Cases: ids and labels are integers, or text that reads as one; a null label, a null or zero vector, and one with null or non-finite components link with
 nothing and are kept; vectors of different lengths never link; repeated rows are vectors of their
-own, linked with each other; an empty table gives an empty result.
+own, linked with each other; an empty table gives an empty result; other columns of the input are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint, ship
+from catlink.functions.runtime import checkpoint, lookup, ship
 from catlink.operators.components import connected_components
 
 CELL_ROWS = 4096
@@ -247,15 +253,22 @@ def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     own = vectors.select(F.col(id_col).cast("long").alias("_i"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
     finite = F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(v, lambda e: e != 0)
     fit = F.coalesce(F.col("label").isNotNull() & v.isNotNull() & finite, F.lit(False))
-    # vectors without links get a class of their own
-    rows = checkpoint(own.select("_i", "label", F.when(fit, v).alias("v"), F.when(fit, F.xxhash64("label", F.transform(v, lambda e: e + 0.0))).alias("c")))
-    classes = checkpoint(rows.filter("c is not null").groupBy("c").agg(F.count("*").alias("m"), F.min("_i").alias("least"), F.min(F.struct("label", "v")).alias("x")).select("c", "m", "least", "x.label", "x.v"))
-    large = classes.groupBy("label").count().filter(F.col("count") > cell_rows).collect()  # a row for each cell_rows classes at most
+    rows = checkpoint(own.select("_i", "label", F.when(fit, F.transform(v, lambda e: e + 0.0)).alias("v")))
+    kinds = checkpoint(rows.filter("v is not null").groupBy("label", "v").agg(F.count("*").alias("m"), F.min("_i").alias("least")))
+    classes, seed = None, 0
+    while classes is None:  # a class is numbered by a hash of its vector; a hash that two vectors share asks for another seed
+        number = F.xxhash64("label", "v", F.lit(seed))
+        made = kinds.withColumn("c", number)
+        size = made.agg(F.count("*").alias("kinds"), F.count_distinct("c").alias("ids"), F.coalesce(F.sum("m"), F.lit(0)).alias("rows")).first()
+        classes, seed = (made if size["kinds"] == size["ids"] else None), seed + 1
+    large = classes.groupBy("label").agg(F.count("*").alias("_n")).filter(F.col("_n") > cell_rows)  # a row for each cell_rows classes at most
+    # pivots: the classes of smallest hash, of about four times as many drawn by it in one pass
+    share = F.least(F.lit(pivots), F.ceil(F.col("_n") / cell_rows)) * 4 / F.col("_n")
+    drawn = classes.join(F.broadcast(large), "label").withColumn("_p", F.pmod(F.xxhash64("c", F.lit(11)), F.lit(1 << 30))).filter(F.col("_p") < share * (1 << 30))
     table: dict[int, np.ndarray] = {}
-    for r in large:
-        n = min(pivots, -(-r["count"] // cell_rows))
-        chosen = [x["v"] for x in classes.filter(F.col("label") == r["label"]).orderBy("c").limit(n).select("v").collect()]
-        chosen = [np.array(x) / np.abs(x).max() for x in chosen if len(x) == len(chosen[0])]
+    for r in drawn.groupBy("label").agg(F.min("_n").alias("n"), F.array_sort(F.collect_list(F.struct("_p", "c", "v"))).alias("x")).toLocalIterator():
+        chosen = [np.array(x["v"]) for x in r["x"] if len(x["v"]) == len(r["x"][0]["v"])][: min(pivots, -(-r["n"] // cell_rows))]
+        chosen = [x / np.abs(x).max() for x in chosen]
         table[r["label"]] = np.stack([x / np.sqrt(x @ x) for x in chosen])
     dealt = classes.select("c", "label", "m", "v").mapInArrow(_units(spark.sparkContext.broadcast(table)), "c long, label long, m long, cell int, far double, v array<double>")
     dealt = checkpoint(dealt)
@@ -273,14 +286,17 @@ def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     sides = pairs.select("label", "cell", "part", task.alias("task"), F.lit(0).alias("side")).unionByName(
         pairs.filter("cell <> cell2 or part <> part2").select("label", F.col("cell2").alias("cell"), F.col("part2").alias("part"), task.alias("task"), F.lit(1).alias("side"))
     )
-    placed = dealt.join(cells.select("label", "cell", "parts"), ["label", "cell"]).withColumn("part", F.pmod(F.xxhash64("c", F.lit(7)), F.col("parts")).cast("int"))
+    placed = lookup(dealt, cells.select("label", "cell", "parts", F.col("n").alias("_n")), ["label", "cell"], size["kinds"]).withColumn("part", F.pmod(F.xxhash64("c", F.lit(7)), F.col("parts")).cast("int"))
     sent = placed.join(sides, ["label", "cell", "part"]).select("task", "side", "c", "m", "v").repartition("task").sortWithinPartitions("task", "side", "c")
     found = checkpoint(sent.mapInArrow(_tasks(cosine), "c long, n long, other long"))
     counts = found.groupBy("c").agg(F.sum("n").alias("n"))
     nodes = connected_components(found.filter("c <> other").select(F.col("c").alias("src"), F.col("other").alias("dst"))).withColumnsRenamed({"node": "c", "component": "root"})
-    grouped = classes.select("c", "least").join(nodes, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component")), "root").join(counts, "c", "left").select("c", "component", "n")
-    linked = rows.filter("c is not null").select("_i", "c").join(named, "c").select("_i", (F.coalesce("n", F.lit(1)) - 1).alias("n_links"), F.col("component").alias("component_id"))
-    alone = rows.filter("c is null").select("_i", F.lit(0).cast("long").alias("n_links"), F.col("_i").alias("component_id"))
+    grouped = checkpoint(classes.select("c", "least").join(nodes, "c", "left").withColumn("root", F.coalesce("root", "c")))
+    roots = grouped.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("_n"))
+    named = lookup(grouped, roots, "root", size["kinds"]).join(counts, "c", "left").select("c", "component", "n")
+    numbered = rows.filter("v is not null").select("_i", number.alias("c"))
+    held = classes.select("c", F.col("m").alias("_n")).join(named, "c")
+    linked = lookup(numbered, held, "c", size["rows"]).select("_i", (F.coalesce("n", F.lit(1)) - 1).alias("n_links"), F.col("component").alias("component_id"))
+    alone = rows.filter("v is null").select("_i", F.lit(0).cast("long").alias("n_links"), F.col("_i").alias("component_id"))
     both = linked.unionByName(alone)
     return both.select(F.col("_i").alias(id_col), "n_links", "component_id", F.coalesce(F.col("_i") == F.col("component_id"), F.col("_i").isNull() & F.col("component_id").isNull()).alias("kept"))
