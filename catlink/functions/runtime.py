@@ -38,20 +38,21 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, rows: int, count: str = "_n") -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, key: str | list[str], rows: int, count: str = "_n") -> DataFrame:
     """``left`` joined to ``right``, which has one row for each key and in ``count`` how many of the ``rows`` rows of ``left`` have it.
 
     Keys with more than a ``HOT_KEYS``-th of all rows are looked up in a broadcast of ``HOT_KEYS`` rows
     at most, so the rows of a hot key stay where they are; the others are joined as ever.
     """
+    keys = [key] if isinstance(key, str) else key
     limit = max(512, rows // HOT_KEYS)
     if rows < 4 * limit:
-        return left.join(right.drop(count), key)
-    more = [c for c in right.columns if c not in (key, count)]
-    hot = right.filter(F.col(count) > limit).select(key, F.struct(*more).alias("_hot"))
-    told = left.join(F.broadcast(hot), key, "left")
+        return left.join(right.drop(count), keys)
+    more = [c for c in right.columns if c not in (*keys, count)]
+    hot = right.filter(F.col(count) > limit).select(*keys, F.struct(*more).alias("_hot"))
+    told = left.join(F.broadcast(hot), keys, "left")
     spread = told.filter("_hot is not null").select(*left.columns, *[F.col(f"_hot.{c}").alias(c) for c in more])
-    return spread.unionByName(told.filter("_hot is null").drop("_hot").join(right.drop(count), key).select(*left.columns, *more))
+    return spread.unionByName(told.filter("_hot is null").drop("_hot").join(right.drop(count), keys).select(*left.columns, *more))
 
 
 def ship(spark: SparkSession) -> None:
