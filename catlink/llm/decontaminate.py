@@ -268,7 +268,7 @@ class BlockMaxIndex:
 
     def _block_max(self, term: int, block: int) -> float:
         low, high = self.block_start[term], self.block_start[term + 1]
-        at = low + int(np.searchsorted(self.block[low:high], block))
+        at = low + int(self.block[low:high].searchsorted(block))
         return float(self.block_max[at]) if at < high and self.block[at] == block else 0.0
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, float, float, float]]:

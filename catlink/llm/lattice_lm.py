@@ -1,12 +1,21 @@
 """Unigram subword lattice language model (operator 9).
 
 A text is its words (runs of bytes other than space and 0x09-0x0D, A-Z lower-cased) and one end.
-The model draws subword pieces independently: its probability of a word is the sum over *all*
-segmentations of the word into pieces of an existing vocabulary, and a text's is the product over
-words and the end.  The pieces are read from a vocabulary file, whose order of scores gives the
-prior (the r-th best piece in proportion to 1 / (r + RANK_SHIFT)); expected piece counts under the
-prior over all training words then give the weights (expectation-maximisation, ``rounds`` steps),
-so that pieces and end sum to one.
+The model draws one token after the other: with c(w) the count of a word in T training tokens, V
+distinct ones,
+
+    P(w) = (c(w) + (V + 1) L(w)) / (T + V + 2),    P(end) = (ends + 1) / (T + V + 2),
+
+where L(w) is the subword lattice's likelihood: the sum over *all* segmentations of the word into pieces
+of an existing vocabulary, each drawn independently.  In other words, a lattice has an edge for each
+piece and one for the whole word, if training texts hold it.  These probabilities sum to one over all words and
+the end.
+
+Piece weights come from the scores of a vocabulary file and from the corpus.  The order of scores (those of
+this kind of file are ranks, no logarithms) gives a prior, the r-th best piece in proportion to
+1 / (r + RANK_SHIFT).  ``rounds`` steps of expectation-maximisation add the prior, as ``PRIOR_COUNT``
+observations, to the expected piece counts of all distinct training words, each counted once, since
+the lattice speaks for words not seen before.
 
 * Lattices are run for distinct words only, many at a time: pieces are found by fingerprints of all
   byte ranges that begin some piece, and forward and backward sums run in log space, column by
@@ -16,9 +25,10 @@ so that pieces and end sum to one.
   word is dropped or approximated.
 * A document's sums are additive, so a very long document needs no task of its own.
 
-Cases: a null text is an empty one (just the end); bytes of characters that no piece holds use the
+Cases: ids are integers, or text that reads as one; a null text is an empty one (just the end); bytes of characters that no piece holds use the
 vocabulary's byte pieces; an empty table gives an empty result; rows with repeated ids count as
-documents of their own; a null id counts as the empty string in the fold rule.
+documents of their own; a null id counts as the empty string in the fold rule; without training
+texts the prior alone scores; other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +47,7 @@ from catlink.llm.textbytes import LOWER, SPACE, Rolling, blocks, text_buffer, wo
 
 HOT_WORDS = 200_000
 RANK_SHIFT = 10.0
-SMOOTHING = 0.05
+PRIOR_COUNT = 1000.0
 CELLS = 1 << 18
 LOG10 = float(np.log(10.0))
 
@@ -177,7 +187,7 @@ def _count_words(held_out: int):
 
 
 def _on_words(pieces, weights, expect: bool):
-    """Over (word, n): expected piece counts, or each word with its log10 probability."""
+    """Over (word, n): expected piece counts of the words, each once, or each word with its lattice's log10 likelihood."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings, byte_piece = pieces.value
@@ -189,7 +199,7 @@ def _on_words(pieces, weights, expect: bool):
                 x, local = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 flat = np.insert(x, local[:-1], 0x20)  # the word start
                 n = batch.column("n").slice(a, b - a).to_numpy()
-                total, expected = run_lattices(flat, local + np.arange(len(local)), model, n.astype(float) if expect else None)
+                total, expected = run_lattices(flat, local + np.arange(len(local)), model, np.ones(b - a) if expect else None)
                 sums += expected
                 if not expect:
                     yield pa.RecordBatch.from_arrays([batch.column("word").slice(a, b - a), pa.array(n), pa.array(total / LOG10)], names=["word", "n", "lp"])
@@ -263,7 +273,8 @@ def read_pieces(path: str) -> tuple[list[bytes], list[int], np.ndarray]:
 def lattice_score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", *, held_out: int = 2, rounds: int = 3, hot_words: int = HOT_WORDS) -> DataFrame:
     """Returns (id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each input row.
 
-    base_score: log10 of the add-one word unigram estimate; score: the model's log10 probability.
+    base_score: log10 of the add-one word unigram estimate, in which one share stands for any unseen
+    word; score: the model's log10 probability of the text itself, so an unseen word costs its spelling.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -275,18 +286,20 @@ def lattice_score(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
     ends = own.agg(F.count_if(~held)).first()[0]
     tokens, distinct = (seen["n"] or 0) + ends, seen["v"] + (ends > 0)
 
-    strings, byte_piece, log = read_pieces(vocabulary)
-    shared = send((strings, byte_piece))
+    strings, byte_piece, prior = read_pieces(vocabulary)
+    shared, log = send((strings, byte_piece)), prior
     for _ in range(rounds):
         parts = counts.filter("n > 0").mapInArrow(_on_words(shared, send(log), True), "piece long, e double").groupBy("piece").agg(F.sum("e").alias("e"))
-        gathered = np.full(len(strings), SMOOTHING)  # as many rows as the vocabulary has pieces
+        gathered = PRIOR_COUNT * np.exp(prior)  # as many rows as the vocabulary has pieces
         for r in parts.toLocalIterator():
             gathered[r["piece"]] += r["e"]
-        log = np.log(gathered / (gathered.sum() + ends + SMOOTHING))
-        end = float(np.log10((ends + SMOOTHING) / (gathered.sum() + ends + SMOOTHING)))
-    if not rounds:
-        end = float(np.log10((ends + 1) / (tokens + 1)))
-    scored = checkpoint(counts.mapInArrow(_on_words(shared, send(log), False), "word string, n long, lp double"))
+        log = np.log(gathered / gathered.sum())
+    novel, all_mass = float(seen["v"] + 1), float(tokens + seen["v"] + 2)
+    end = float(np.log10((ends + 1) / all_mass))
+    n, lattice = F.col("n").cast("double"), F.col("lp") + float(np.log10(novel))
+    known = F.log10(n + F.pow(F.lit(10.0), lattice))
+    scored = counts.mapInArrow(_on_words(shared, send(log), False), "word string, n long, lp double")
+    scored = checkpoint(scored.withColumn("lp", F.when(n > 0, known).otherwise(lattice) - float(np.log10(all_mass))))
 
     # the bound holds whatever the counts are: buckets of counts from the top, as long as they fit
     bucket = F.floor(F.log2(F.col("n") + 1) * 16).cast("int")

@@ -57,3 +57,20 @@ def test_scores(spark):
         assert all(r.score < 0 for r in got)
     assert scores[0] == scores[1] == scores[2]
     assert lattice_score(df.limit(0), PATH).count() == 0
+
+
+def test_score_by_enumeration(spark):
+    """The whole score with the file's prior as weights, every word by all its segmentations."""
+    texts = ["the cat sat on the mat", "the dog", "a catalog of dogs", "é the", ""] * 4
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    strings, _, log = read_pieces(PATH)
+    table = {s: log[i] for i, s in enumerate(strings) if s}
+    toks = [t.split() for t in texts]
+    train = [t for i, t in enumerate(toks) if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = Counter(w for t in train for w in t)
+    total, v = sum(count.values()) + len(train), len(count)
+    lattice = lambda w: sum(math.exp(sum(table[p] for p in s)) for s in all_segmentations(b" " + w.encode(), table))
+    one = lambda w: math.log10((count[w] + (v + 1) * lattice(w)) / (total + v + 2))
+    got = {r.doc_id: r.score for r in lattice_score(df, PATH, rounds=0).collect()}
+    for i, t in enumerate(toks):
+        assert abs(got[i] - sum(map(one, t)) - math.log10((len(train) + 1) / (total + v + 2))) < 1e-6
