@@ -12,14 +12,19 @@ The lexicon is mined from the labelled rows (``toxic``): words and beginnings of
 frequent in toxic documents than chance allows (z >= ``LEXICON_Z``, precision >= 0.9, in
 ``LEXICON_SHARE`` of the toxic documents at least).
 
-Documented bounds, all samples by a hash of the id and so the same at every run: ``LABELLED_ROWS``
-labelled rows are used for the lexicon, ``TRAIN_ROWS`` documents for the fit, ``LEXICON_WORDS`` entries.
-Vote counts, lexicon look-up and scores cover all documents and whole texts.
-
-Cases: null and empty texts and texts of spaces have no votes and are kept; null labels and labels
+Documented bounds (parameters ``labelled_rows``, ``train_rows``, ``train_entries``), all samples by a hash of
+the id and so the same at every run: ``LABELLED_ROWS`` labelled rows are used for the lexicon, ``TRAIN_ROWS``
+documents for the fit, or as many of their hash ranges as hold ``TRAIN_ENTRIES`` hashed features; a range
+holds a ``TRAIN_RANGES``-th of them, and a document has ``BUCKETS`` features at most.  All entries that pass the
+lexicon's rule are used; each is in ``LEXICON_SHARE`` of the sample's toxic documents, so there are no more than
+the mean number of their distinct words and beginnings over ``LEXICON_SHARE``.  Vote counts, lexicon look-up
+and scores cover all documents and whole texts.
+
+Cases: ids are integers, or text that reads as one; null and empty texts and texts of spaces have no votes and are kept; null labels and labels
 without a document are ignored; without labels the lexicon is empty; labels repeated for an id
-count once, toxic if any is; repeated documents are decided each; an empty table gives an empty
-result.
+count once, toxic if any is; repeated documents are decided each; a very long text is a block of its
+own, held whole by one task; an empty table gives an empty result; other columns are ignored by
+``classify`` and carried by ``drop_rejected``, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,8 +39,10 @@ from pyspark.sql import functions as F
 from catlink.functions.runtime import checkpoint, ship
 from catlink.llm.textbytes import LOWER, Rolling, blocks, fmix, text_buffer, words
 
-LABELLED_ROWS, TRAIN_ROWS = 8000, 5000
-LEXICON_WORDS, LEXICON_Z, LEXICON_SHARE = 2048, 6.0, 0.02
+LABELLED_ROWS, TRAIN_ROWS, TRAIN_ENTRIES, TRAIN_RANGES = 8000, 5000, 4_000_000, 64
+LEXICON_Z, LEXICON_SHARE = 6.0, 0.02
+#: Documents that the given accuracies of the labellers count for in the estimate, in each class.
+PRIOR_DOCUMENTS = 25.0
 BEGINNINGS = (4, 5, 6)
 BUCKETS = 1 << 18
 CLASSES = ["clean", "shouting", "symbols", "table", "repeats", "abuse"]
@@ -138,7 +145,7 @@ def fit_labellers(patterns: dict[int, int], rounds: int = 100) -> tuple[np.ndarr
     for j, (_, about) in enumerate(LABELLERS.values()):
         for c in about:
             rate[CLASSES.index(c), j] = 0.7
-    prior, strength = rate.copy(), 1.0 + 0.001 * n.sum()
+    prior, strength = rate.copy(), PRIOR_DOCUMENTS
     post = np.zeros((len(keys), len(CLASSES)))
     for _ in range(rounds):
         log = np.log(share) + fired @ np.log(rate).T + (1 - fired) @ np.log(1 - rate).T
@@ -230,14 +237,14 @@ def _smallest_shingle(block: Bytes, batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch.column(0), pa.array(key.view(np.int64))], names=["_i", "_key"])
 
 
-def mine_lexicon(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def mine_lexicon(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of words, hashes of beginnings) of the lexicon."""
     ship(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("_i"), (F.coalesce("toxic", F.lit(0)) > 0).cast("int").alias("_bad")).filter("_i is not null")
     known = known.groupBy("_i").agg(F.max("_bad").alias("_bad"))
     total = known.count()
-    keep = min(1.0, LABELLED_ROWS / max(total, 1))
-    sample = known.filter(F.pmod(F.xxhash64("_i"), F.lit(1_000_000)) < int(keep * 1_000_000))  # LABELLED_ROWS rows of 12 bytes
+    keep = min(1.0, labelled_rows / max(total, 1))
+    sample = known.filter(F.pmod(F.xxhash64("_i"), F.lit(1_000_000)) < int(keep * 1_000_000))  # labelled_rows rows of 12 bytes
     rows = docs.join(F.broadcast(sample), "_i").select("_i", "_t")
     # copies of one document are one witness: of those with one smallest shingle, the smallest id speaks
     keyed = rows.mapInArrow(_each(1, _smallest_shingle), "_i long, _key long")
@@ -250,15 +257,15 @@ def mine_lexicon(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.nda
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     counts = rows.mapInArrow(_each(0, _lexicon_counts), "kind long, h long, docs long, bad long").groupBy("kind", "h").agg(F.sum("docs").alias("docs"), F.sum("bad").alias("bad"))
     z = (F.col("bad") - F.col("docs") * rate) / F.sqrt(F.col("docs") * rate * (1 - rate))
-    found = counts.filter((z >= LEXICON_Z) & (F.col("bad") >= 0.9 * F.col("docs")) & (F.col("bad") >= LEXICON_SHARE * both["bad"])).orderBy(z.desc(), "kind", "h").limit(LEXICON_WORDS).collect()
+    found = counts.filter((z >= LEXICON_Z) & (F.col("bad") >= 0.9 * F.col("docs")) & (F.col("bad") >= LEXICON_SHARE * both["bad"])).collect()
     made = [np.sort(np.array([r["h"] for r in found if r["kind"] == k], np.int64).view(np.uint64)) for k in (0, 1)]
     return made[0], made[1]
 
 
-def _fit(own: DataFrame, labels: DataFrame):
+def _fit(own: DataFrame, labels: DataFrame, labelled_rows: int, train_rows: int, train_entries: int):
     """(lexicon, posterior by pattern, scorer) as broadcasts, from (_i, _t) rows; None for an empty table."""
     send = own.sparkSession.sparkContext.broadcast
-    lexicon = send(mine_lexicon(own, labels))
+    lexicon = send(mine_lexicon(own, labels, labelled_rows))
     seed = F.pmod(F.xxhash64("_i", F.length("_t")), F.lit(1_000_000))
 
     def vote(block, batch):
@@ -280,11 +287,17 @@ def _fit(own: DataFrame, labels: DataFrame):
         ends = np.searchsorted(who, np.arange(block.n + 1)).astype(np.int32)
         lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (what.astype(np.int32), value)]
         dense = pa.ListArray.from_arrays(pa.array(np.arange(block.n + 1, dtype=np.int32) * rates.shape[1]), pa.array(rates.ravel()))
-        return pa.RecordBatch.from_arrays([*lists, dense], names=["bucket", "value", "rates"])
-
-    keep = min(1.0, TRAIN_ROWS / max(sum(patterns.values()), 1))
-    sample = own.filter(seed < int(keep * 1_000_000) + 1).select("_t")
-    train = sample.mapInArrow(_each(0, features), "bucket array<int>, value array<float>, rates array<double>").toArrow()
+        return pa.RecordBatch.from_arrays([batch.column(1), *lists, dense], names=["_range", "bucket", "value", "rates"])
+
+    keep = int(min(1.0, train_rows / max(sum(patterns.values()), 1)) * 1_000_000) + 1
+    sample = own.filter(seed < keep).select("_t", F.floor(seed * TRAIN_RANGES / keep).cast("int").alias("_range"))
+    train = checkpoint(sample.mapInArrow(_each(0, features), "_range int, bucket array<int>, value array<float>, rates array<double>"))
+    last, entries = 0, 0
+    for r in train.groupBy("_range").agg(F.sum(F.size("bucket")).alias("n")).orderBy("_range").collect():  # TRAIN_RANGES rows
+        if entries and entries + r["n"] > train_entries:
+            break
+        last, entries = r["_range"], entries + r["n"]
+    train = train.filter(F.col("_range") <= last).toArrow()
     rates = np.array(train["rates"].to_pylist(), float).reshape(-1, len(LABELLERS))
     size = np.array([len(x) for x in train["bucket"]], np.int64)
     flat = lambda name: np.concatenate([np.zeros(0), *[c.flatten().to_numpy() for c in train[name].chunks]])
@@ -301,10 +314,12 @@ def _judge(block: Bytes, fitted) -> tuple[np.ndarray, np.ndarray]:
     return given, np.where(block.count > 0, model.score(block, rates), 0.0)
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classify(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, labelled_rows: int = LABELLED_ROWS, train_rows: int = TRAIN_ROWS, train_entries: int = TRAIN_ENTRIES
+) -> DataFrame:
     """Returns (id, posterior, score, rejected), one row for each input row; rejected: score >= 0.5."""
     own = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t"))
-    fitted, schema = _fit(own, labels), "_i long, posterior double, score double"
+    fitted, schema = _fit(own, labels, labelled_rows, train_rows, train_entries), "_i long, posterior double, score double"
     if fitted is None:
         out = docs.sparkSession.createDataFrame([], schema)
     else:
@@ -317,9 +332,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return out.select(F.col("_i").alias(id_col), "posterior", "score", (F.col("score") >= 0.5).alias("rejected"))
 
 
-def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_rejected(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, labelled_rows: int = LABELLED_ROWS, train_rows: int = TRAIN_ROWS, train_entries: int = TRAIN_ENTRIES
+) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps; texts aren't moved."""
-    fitted = _fit(docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t")), labels)
+    fitted = _fit(docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text_col).alias("_t")), labels, labelled_rows, train_rows, train_entries)
     if fitted is None:
         return docs
 

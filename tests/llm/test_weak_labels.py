@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from catlink.llm.weak_labels import CLASSES, LABELLERS, Bytes, classify, fit_labellers, votes
+from catlink.llm.weak_labels import CLASSES, LABELLERS, PRIOR_DOCUMENTS, Bytes, classify, fit_labellers, votes
 
 NAMES = list(LABELLERS)
 
@@ -38,6 +38,66 @@ def test_expectation_maximisation_recovers_accuracies():
     assert posterior[0] < 0.05
 
 
+def test_expectation_maximisation_equals_a_loop_over_documents():
+    """The same estimate without patterns, matrices or logarithms: one document, class and labeller at a time."""
+    random.seed(2)
+    documents = []
+    for _ in range(400):
+        kind = random.choice(CLASSES) if random.random() < 0.3 else "clean"
+        documents.append([int(random.random() < (0.8 if kind in about else 0.02)) for _, about in LABELLERS.values()])
+    k = len(CLASSES)
+    share = [1 - 0.04 * (k - 1)] + [0.04] * (k - 1)
+    rate = [[0.7 if c in about else 0.01 for _, about in LABELLERS.values()] for c in CLASSES]
+    prior, rounds = [list(r) for r in rate], 30
+    for _ in range(rounds):
+        post = []
+        for d in documents:
+            like = []
+            for c in range(k):
+                x = share[c]
+                for j, fired in enumerate(d):
+                    x *= rate[c][j] if fired else 1 - rate[c][j]
+                like.append(x)
+            post.append([x / sum(like) for x in like])
+        mass = [sum(p[c] for p in post) for c in range(k)]
+        share = [(m + 0.5) / (len(documents) + 0.5 * k) for m in mass]
+        for c in range(k):
+            for j in range(len(NAMES)):
+                seen = sum(p[c] for p, d in zip(post, documents, strict=True) if d[j])
+                rate[c][j] = min(max((seen + PRIOR_DOCUMENTS * prior[c][j]) / (mass[c] + PRIOR_DOCUMENTS), 1e-4), 1 - 1e-4)
+    keys = [sum(fired << j for j, fired in enumerate(d)) for d in documents]
+    got_share, got_rate, posterior = fit_labellers({x: keys.count(x) for x in keys}, rounds=rounds)
+    assert np.allclose(got_share, share) and np.allclose(got_rate, rate)
+    assert all(abs(posterior[x] - (1 - p[0])) < 1e-9 for x, p in zip(keys, post, strict=True))
+
+
+def test_rates_equal_a_loop_over_words():
+    random.seed(6)
+    pool = ["WORD", "word", "word,", "wow!!", "odd***", "x$$", "|", "go", "GO2", "é", "ÉA", "a.b", "...", "!", "Foolish", "fool", "foo.", "u" * 300]
+    texts = [" ".join(random.choices(pool, k=random.randint(0, 60))) for _ in range(60)] + ["", "go " * 7, "x" * 70_000]
+    known = Bytes(np.frombuffer(b"fool go", np.uint8), np.array([0, 7]))
+    whole = np.sort(known.word_hash())
+    begin = np.sort(Bytes(np.frombuffer(b"fooli", np.uint8), np.array([0, 5])).rolling.grams(5))
+    marks = set("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    data = "".join(texts).encode()
+    got = Bytes(np.frombuffer(data, np.uint8), np.cumsum([0] + [len(t.encode()) for t in texts])).rates((whole, begin))
+    for t, row in zip(texts, got, strict=True):
+        w = t.split(" ") if t.strip() else []
+        w = [x for x in w if x]
+        n, size = max(len(w), 1), max(sum(len(x.encode()) for x in w), 1)
+        bare = [(x[:-1] if x[-1] in ".,;:!?" and len(x) > 1 else x).encode() for x in w]
+        low = [bytes(c + 32 if 65 <= c <= 90 else c for c in x) for x in bare]
+        same = [i > 0 and low[i] == low[i - 1] for i in range(len(w))]
+        ends = lambda x, sign: len(x) > 1 and x[-1] == x[-2] and sign(x[-1])
+        abusive, begins = [x in (b"fool", b"go") for x in low], [x[:5] == b"fooli" for x in low]
+        want = [
+            sum(sum("A" <= c <= "Z" for c in x) > 1 and not any("a" <= c <= "z" for c in x) for x in w) / n, sum(ends(x, lambda c: c == "!") for x in w) / n,
+            sum(ends(x, lambda c: c in marks and c not in "!.") for x in w) / n, sum(c in marks for x in w for c in x) / size, w.count("|") / n, sum(same) / n,
+            sum(i > 2 and same[i] and same[i - 1] and same[i - 2] for i in range(len(w))) / n, sum(abusive) / n, sum(begins) / n, sum(a or b for a, b in zip(abusive, begins, strict=True)) / n,
+        ]
+        assert np.allclose(row, want), (t, row, want)
+
+
 def test_classifier(spark):
     random.seed(7)
     words = ["".join(random.choices("abcdefghij", k=random.randint(2, 8))) for _ in range(400)]
@@ -68,6 +128,7 @@ def test_classifier(spark):
     assert all(not x for d, x in got if d is None or d >= 5000)
     assert classify(frame.limit(0), given).count() == 0
     assert classify(frame, given.limit(0)).count() == len(docs)
+    assert classify(frame, given, labelled_rows=200, train_rows=300, train_entries=2000).count() == len(docs)
 
 
 def test_votes_are_bit_patterns():
