@@ -146,15 +146,16 @@ def _op4() -> str:
     from catlink.llm.license_scan import SEPARATORS, TEMPLATES
 
     split = f"list_filter(string_split(regexp_replace(lower(text), '{SEPARATORS}', ' ', 'g'), ' '), lambda w: w <> '')"
-    values = ", ".join(f"('{k}', '{t}')" for k, t in sorted(TEMPLATES.items()))
+    quoted = lambda x: x.replace("'", "''")
+    values = ", ".join(f"({i}, '{k.split('/')[0]}', '{quoted(t)}')" for i, (k, t) in enumerate(sorted(TEMPLATES.items())))
     return rf"""
-WITH t AS (SELECT license, {split} AS w FROM (VALUES {values}) AS v(license, text)),
-k AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM t)),
-n AS (SELECT license, count(*) AS s FROM k GROUP BY license),
+WITH t AS (SELECT template, license, {split} AS w FROM (VALUES {values}) AS v(template, license, text)),
+k AS (SELECT DISTINCT template, license, array_to_string(w[i:i + 4], ' ') AS shingle FROM (SELECT template, license, w, unnest(range(1, len(w) - 3)) AS i FROM t)),
+n AS (SELECT template, count(*) AS s FROM k GROUP BY template),
 d AS (SELECT doc_id, {split} AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(0, len(w) - 4)) AS pos, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS shingle FROM d),
-m AS (SELECT doc_id, license, s, shingle, unnest([pos // s, pos // s - 1]) AS win FROM p JOIN k USING (shingle) JOIN n USING (license)),
-c AS (SELECT doc_id, license, win * any_value(s) AS first_word, count(DISTINCT shingle) / any_value(s) AS containment FROM m WHERE win >= 0 GROUP BY doc_id, license, win)
+m AS (SELECT doc_id, template, license, s, shingle, unnest([pos // s, pos // s - 1]) AS win FROM p JOIN k USING (shingle) JOIN n USING (template)),
+c AS (SELECT doc_id, license, win * any_value(s) AS first_word, count(DISTINCT shingle) / any_value(s) AS containment FROM m WHERE win >= 0 GROUP BY doc_id, template, license, win)
 SELECT doc_id, license, max(containment)::DOUBLE AS containment, arg_min(first_word, (-containment, first_word))::BIGINT AS first_word
 FROM c WHERE containment >= 0.8 GROUP BY doc_id, license
 """

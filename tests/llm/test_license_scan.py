@@ -14,6 +14,7 @@ def brute(rows, containment=0.8):
     for d, t in rows:
         h = shingles(words(t or ""))
         for name, notice in TEMPLATES.items():
+            name = name.split("/")[0]
             own = set(shingles(words(notice)))
             s = len(own)
             for at in range(0, len(h), s):
@@ -47,3 +48,18 @@ def test_plan_has_no_python(spark):
     df = spark.range(3).selectExpr("id as doc_id", "'x' as text")
     plan = license_scan(df)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|ExistingRDD", plan)
+
+
+def test_many_long_templates_plan(spark):
+    random.seed(8)
+    texts = {f"L{i}": " ".join(f"w{random.randrange(500)}" for _ in range(200 + i % 3)) for i in range(300)}
+    df = spark.createDataFrame([(1, "start " + texts["L7"] + " end"), (2, texts["L8"][: len(texts["L8"]) // 2]), (3, "x " * 100_000 + texts["L299"])], "doc_id long, text string")
+    assert {(r.doc_id, r.license) for r in license_scan(df, texts).collect()} == {(1, "L7"), (3, "L299")}
+
+
+def test_whole_license_texts(spark):
+    body = TEMPLATES["MIT/text"].lower().replace(",", " ,")
+    gnu = "This program is free software; you can redistribute it and/or modify it {} (at your option) any later version."
+    rows = [(1, f"Copyright (c) 2001 A. Person\n\n{body}\n"), (2, body[:300])] + [(3 + i, gnu.format(TEMPLATES[f"{k}/notice"])) for i, k in enumerate(["GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.license) for r in license_scan(df).collect()} == {(1, "MIT"), (3, "GPL-2.0"), (4, "GPL-3.0"), (5, "LGPL-2.1"), (6, "LGPL-3.0"), (7, "AGPL-3.0")}
