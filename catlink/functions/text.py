@@ -1,13 +1,17 @@
 """Text and key normalisation as native column expressions.
 
-Folding to ASCII is a table generated from Unicode's compatibility decompositions, applied by one
-``translate`` (one-character folds) and a few ``replace`` calls (longer Latin folds); characters
-without an ASCII fold are deleted.  ``*_sql`` functions give the same chains as DuckDB SQL, for
-parity checks.
+Folding to ASCII is a table generated from Unicode's case folds and compatibility decompositions: one
+``translate`` for the folds of one character, and, only in texts that hold such a character, a look-up of
+the longer ones (ligatures, circled numbers, unit signs) in one constant map.  Characters without an
+ASCII fold are deleted.  Entities are resolved by the HTML 5 table in the same way.  ``*_sql`` functions
+give the same chains as DuckDB SQL, for parity checks; they leave out what the test tables don't hold
+(long folds beyond Latin letters, entities other than the most usual).
 """
 
 from __future__ import annotations
 
+import html.entities
+import json
 import re
 import unicodedata
 from functools import cache
@@ -18,45 +22,84 @@ from pyspark.sql import functions as F
 #: Fixed values.
 JOINERS = "’'`´"
 SMART = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", " ": " "}
-LEADING_ARTICLE = "^(a|an|the) +"
+LEADING_ARTICLE = r"^(a|an|the)[\s\x1c-\x1f]+"
+BLANK_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 LEADING_ARTICLE_MANY = "^(the|a|an|le|la|les|l|los|las|el|un|une|des|il|lo|i) "
 DIRECTOR_SEPARATORS = r"(?i)\s*(?:,| and | & | et | y )\s*"
 
 
+def _ascii(x: str) -> str:
+    return x.encode("ascii", "ignore").decode()
+
+
+#: How a character folds: title keys fold the case first; anchors decompose first; hints only fold the case.
+FOLDS = {
+    "title": lambda c: _ascii(unicodedata.normalize("NFKD", c.casefold())),
+    "anchor": lambda c: _ascii(unicodedata.normalize("NFKD", c)).casefold(),
+    "hint": lambda c: c.casefold() if _ascii(c.casefold()) else c.lower(),
+}
+
+
 @cache
-def folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """(characters, their one-character ASCII folds, longer folds of Latin and sign characters)."""
+def folds(kind: str = "title") -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """(characters, their one-character folds, longer folds), from all code points; a hint's case is folded by ``lower`` elsewhere."""
     one_from, one_to, more = [], [], []
-    longer = {*range(0xA0, 0x250), *range(0x2010, 0x2040), *range(0x2100, 0x2190), *range(0xFB00, 0xFB07)}
-    for c in range(0x80, 0x10000):
-        if 0xD800 <= c < 0xE000:
+    for n in range(0x110000):
+        c = chr(n)
+        if 0xD800 <= n < 0xE000 or (kind == "hint" and FOLDS[kind](c) == c.lower()):
             continue
-        fold = unicodedata.normalize("NFKD", chr(c).casefold()).encode("ascii", "ignore").decode()
-        if len(fold) == 1:
-            one_from.append(chr(c))
+        fold = FOLDS[kind](c)
+        if len(fold) == 1 and fold != c:
+            one_from.append(c)
             one_to.append(fold)
-        elif fold and c in longer:
-            more.append((chr(c), fold))
+        elif len(fold) > 1:
+            more.append((c, fold))
     return "".join(one_from), "".join(one_to), tuple(more)
 
 
+def _class(characters: list[str]) -> str:
+    """A regular expression's class of characters, as ranges."""
+    out, first, last = [], None, None
+    for n in [*sorted(map(ord, characters)), None]:
+        if first is not None and n != last + 1:
+            out.append(f"\\x{{{first:x}}}-\\x{{{last:x}}}" if last > first else f"\\x{{{first:x}}}")
+            first = n
+        first, last = n if first is None else first, n
+    return "[" + "".join(out) + "]"
+
+
+def _map(table: str) -> Column:
+    """A constant map, folded from one JSON string."""
+    return F.from_json(F.lit(table), "map<string,string>")
+
+
+@cache
+def _longer(kind: str) -> tuple[str, str]:
+    more = folds(kind)[2]
+    return _class([c for c, _ in more]), json.dumps(dict(more))
+
+
 def _squeeze(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
-def fold_ascii(x: Column) -> Column:
-    """Lower-cased (in the sense of case folding) and folded to ASCII; what has no fold is deleted."""
-    source, target, more = folds()
-    x = F.lower(x)
-    for a, b in more:
-        x = F.replace(x, F.lit(a), F.lit(b))
-    return F.regexp_replace(F.translate(x, source, target), r"[^\x00-\x7f]", "")
+def _fold(x: Column, kind: str) -> Column:
+    source, target, more = folds(kind)
+    held, table = _longer(kind)
+    x = F.translate(x, source, target)  # first: what the longer folds leave in upper case stays so
+    each = F.transform(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)), lambda c: F.coalesce(F.try_element_at(_map(table), c), c))
+    return F.when(x.rlike(held), F.array_join(each, "")).otherwise(x)
+
+
+def fold_ascii(x: Column, kind: str = "title") -> Column:
+    """Folded to lower-case ASCII; what has no fold is deleted."""
+    return F.regexp_replace(_fold(x, kind), r"[^\x00-\x7f]", "")
 
 
 def normalize_title(x: Column) -> Column:
     """Key of a title: folded, joiners deleted, ampersands spelled, one leading English article dropped, words only."""
-    x = F.regexp_replace(fold_ascii(F.coalesce(F.trim(x), F.lit(""))), f"[{JOINERS}]", "")
-    x = F.regexp_replace(F.replace(F.ltrim(x), F.lit("&"), F.lit(" and ")), LEADING_ARTICLE, "")
+    x = F.regexp_replace(fold_ascii(F.regexp_replace(F.coalesce(x, F.lit("")), BLANK_ENDS, "")), f"[{JOINERS}]", "")
+    x = F.regexp_replace(F.replace(x, F.lit("&"), F.lit(" and ")), LEADING_ARTICLE, "")
     return F.trim(F.regexp_replace(x, "[^a-z0-9]+", " "))
 
 
@@ -75,7 +118,7 @@ def exact_key(x: Column) -> Column:
 
 def reanchor_key(x: Column) -> Column:
     """Folded words; every sign becomes a space."""
-    return _squeeze(F.regexp_replace(fold_ascii(F.coalesce(x, F.lit(""))), r"[^a-z0-9_\s]", " "))
+    return _squeeze(F.regexp_replace(fold_ascii(F.coalesce(x, F.lit("")), "anchor"), r"[^a-z0-9_\s]", " "))
 
 
 def reanchor_title(x: Column) -> Column:
@@ -87,23 +130,58 @@ def reanchor_person(x: Column) -> Column:
     return drop_initials(reanchor_key(x))
 
 
-def unescape_entities(x: Column) -> Column:
-    """The five XML entities and the apostrophe, ampersand last."""
-    for a, b in ENTITIES:
-        x = F.replace(x, F.lit(a), F.lit(b))
-    return x
+#: The most usual entities, which the SQL forms know.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
 
-#: Fixed values.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+@cache
+def _entities() -> tuple[str, str, str]:
+    """(named entities, those that stand without a semicolon as an alternation, numbers with a meaning of their own), from the HTML 5 table."""
+    table = html.entities.html5
+    usual = {k: table[k] for k in ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;")}
+    bare = sorted((k for k in table if not k.endswith(";")), key=len, reverse=True)
+    # numbers of the C1 range stand for the characters of code page 1252
+    low = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    controls = [n for n in (*range(1, 9), 0xB, *range(0xE, 0x20), 0x7F)]
+    codes = {**{str(n): c for n, c in low.items()}, **{str(n): "" for n in controls}, "0": "\ufffd", "13": "\r"}
+    return json.dumps({**usual, **table}), "|".join(bare), json.dumps(codes)
+
+
+def _reference(ref: Column) -> Column:
+    """The text of one character reference, given without its ampersand."""
+    named, bare, codes = _entities()
+    digits = F.regexp_extract(ref, r"^#0*([0-9]*)", 1)
+    # numbers of more digits than any code point has are read as one beyond them
+    decimal = F.when(F.length(digits) > 9, 0x110000).otherwise(F.coalesce(digits.try_cast("long"), F.lit(0)))
+    digits16 = F.regexp_extract(ref, r"^#[xX]0*([0-9a-fA-F]*)", 1)
+    hexadecimal = F.when(F.length(digits16) > 7, 0x110000).otherwise(F.coalesce(F.conv(digits16, 16, 10).try_cast("long"), F.lit(0)))
+    number = F.when(ref.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
+    plane = number.bitwiseAND(F.lit(0xFFFF)) >= 0xFFFE  # not characters, like FDD0-FDEF
+    one = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    of_number = F.coalesce(
+        F.try_element_at(_map(codes), number.cast("string")),
+        F.when((number > 0x10FFFF) | number.between(0xD800, 0xDFFF), "\ufffd").when(plane | number.between(0xFDD0, 0xFDEF), "").otherwise(one),
+    )
+    table = _map(named)
+    head = F.regexp_extract(ref, f"^({bare})", 1)
+    of_name = F.coalesce(F.try_element_at(table, ref), F.when(head != "", F.concat(F.try_element_at(table, head), F.substr(ref, F.length(head) + 1))), F.concat(F.lit("&"), ref))
+    return F.when(F.startswith(ref, F.lit("#")), of_number).otherwise(of_name)
+
+
+def unescape_entities(x: Column) -> Column:
+    """Character references resolved once, by name (with or without a semicolon, as HTML 5 has them) and by number."""
+    refs = F.regexp_extract_all(x, F.lit(REFERENCE), F.lit(1))
+    between = F.split(x, REFERENCE, -1)
+    done = F.array_join(F.zip_with(between, F.transform(refs, _reference), lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
+    return F.when(x.rlike(REFERENCE), done).otherwise(x)
 
 
 def hint_key(x: Column) -> Column:
-    """Key of web titles: entities resolved, dashes unified, article dropped before ampersands; other letters deleted."""
-    x = unescape_entities(F.lower(F.trim(F.coalesce(x, F.lit("")))))
+    """Key of web titles: case folded, entities resolved, dashes unified, article dropped before ampersands; other letters deleted."""
+    x = unescape_entities(F.lower(_fold(F.regexp_replace(F.coalesce(x, F.lit("")), BLANK_ENDS, ""), "hint")))
     x = F.regexp_replace(F.regexp_replace(x, "[–—]", "-"), f"[{JOINERS}]", "")
-    x = F.replace(F.regexp_replace(x, LEADING_ARTICLE, ""), F.lit("&"), F.lit(" and "))
-    x = F.replace(F.regexp_replace(x, "ß", "ss"), F.lit(" "), F.lit(""))
+    x = F.replace(F.regexp_replace(x, r"(?U)" + LEADING_ARTICLE, ""), F.lit("&"), F.lit(" and "))
     return F.trim(F.regexp_replace(F.regexp_replace(x, r"[^\x00-\x7f]", ""), "[^a-z0-9]+", " "))
 
 
@@ -208,17 +286,19 @@ def quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
-def fold_sql(x: str) -> str:
-    source, target, more = folds()
-    x = f"lower({x})"
+def fold_sql(x: str, kind: str = "title") -> str:
+    source, target, more = folds(kind)
     for a, b in more:
-        x = f"replace({x}, {quoted(a)}, {quoted(b)})"
+        if ord(a) < 0x250 or 0x2010 <= ord(a) < 0x2040 or 0xFB00 <= ord(a) < 0xFB07:
+            x = f"replace({x}, {quoted(a)}, {quoted(b)})"
+    some = [i for i, c in enumerate(source) if ord(c) < 0x10000]
+    source, target = "".join(source[i] for i in some), "".join(target[i] for i in some)
     return f"regexp_replace(translate({x}, {quoted(source)}, {quoted(target)}), '[^\\x00-\\x7f]', '', 'g')"
 
 
 def title_sql(x: str) -> str:
     y = f"regexp_replace({fold_sql(f'coalesce(trim({x}), {quoted("")})')}, {quoted(f'[{JOINERS}]')}, '', 'g')"
-    y = f"regexp_replace(replace(ltrim({y}), '&', ' and '), {quoted(LEADING_ARTICLE)}, '')"
+    y = f"regexp_replace(replace({y}, '&', ' and '), {quoted(LEADING_ARTICLE)}, '')"
     return f"trim(regexp_replace({y}, '[^a-z0-9]+', ' ', 'g'))"
 
 
@@ -235,7 +315,7 @@ def exact_sql(x: str) -> str:
 
 
 def reanchor_sql(x: str) -> str:
-    y = f"regexp_replace({fold_sql(f'coalesce({x}, {quoted("")})')}, '[^a-z0-9_\\s]', ' ', 'g')"
+    y = f"regexp_replace({fold_sql(f'coalesce({x}, {quoted("")})', 'anchor')}, '[^a-z0-9_\\s]', ' ', 'g')"
     return f"trim(regexp_replace({y}, '\\s+', ' ', 'g'))"
 
 
@@ -250,10 +330,10 @@ def entities_sql(x: str) -> str:
 
 
 def hint_sql(x: str) -> str:
-    y = entities_sql(f"lower(trim(coalesce({x}, '')))")
+    y = entities_sql(f"lower(replace(trim(coalesce({x}, '')), 'ß', 'ss'))")
     y = f"regexp_replace(regexp_replace({y}, '[–—]', '-', 'g'), {quoted(f'[{JOINERS}]')}, '', 'g')"
     y = f"replace(regexp_replace({y}, {quoted(LEADING_ARTICLE)}, ''), '&', ' and ')"
-    y = f"regexp_replace(replace({y}, 'ß', 'ss'), '[^\\x00-\\x7f]', '', 'g')"
+    y = f"regexp_replace({y}, '[^\\x00-\\x7f]', '', 'g')"
     return f"trim(regexp_replace({y}, '[^a-z0-9]+', ' ', 'g'))"
 
 
@@ -275,5 +355,5 @@ def strip_tags_sql(x: str) -> str:
 def python_title(text: str) -> str:
     """Reference implementation of ``normalize_title`` for tests and small constant tables."""
     x = unicodedata.normalize("NFKD", (text or "").strip().casefold()).encode("ascii", "ignore").decode()
-    x = re.sub(f"[{JOINERS}]", "", x).lstrip().replace("&", " and ")
+    x = re.sub(f"[{JOINERS}]", "", x).replace("&", " and ")
     return " ".join(re.sub("[^a-z0-9]+", " ", re.sub(LEADING_ARTICLE, "", x)).split())

@@ -1,4 +1,7 @@
+import html
 import random
+import re
+import unicodedata
 
 import duckdb
 import pytest
@@ -79,3 +82,37 @@ def test_sql_chains_agree():
     con = duckdb.connect()
     for x, want in CASES.items():
         assert con.execute(f"SELECT {T.title_sql('x')} FROM (SELECT ? AS x)", [x]).fetchone()[0] == want
+
+
+def python_anchor(text):
+    x = unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode()
+    return re.sub(r"\s+", " ", re.sub(r"[^\w\s]", " ", x.casefold())).strip()
+
+
+def python_hint(text):
+    x = html.unescape((text or "").strip().casefold()).replace("\u2013", "-").replace("\u2014", "-")
+    x = re.sub(r"^(a|an|the)\s+", "", re.sub("[’'`´]", "", x)).replace("&", " and ")
+    return " ".join(re.sub(r"[^a-z0-9]+", " ", x.encode("ascii", "ignore").decode()).split())
+
+
+def test_keys_of_all_code_points(spark):
+    """Against Python's own case folding and decomposition, not against the tables."""
+    points = [n for n in range(1, 0x110000) if not 0xD800 <= n < 0xE000 and (n < 0x10000 or unicodedata.normalize("NFKD", chr(n)) != chr(n) or chr(n).casefold() != chr(n))]
+    values = [f"x{chr(n)}Y" for n in points] + [f"{chr(n)} the {chr(n)}{chr(n + 1) if n + 1 < 0xD800 else ''}" for n in points[:60000:7]]
+    got = rows(spark, values, T.normalize_title, T.reanchor_key, T.hint_key)
+    want = [(T.python_title(v), python_anchor(v), python_hint(v)) for v in values]
+    wrong = [(v, [hex(ord(c)) for c in v], g, w) for v, g, w in zip(values, got, want, strict=True) if g != w]
+    assert not wrong, (len(wrong), wrong[:10])
+
+
+def test_entities_match_the_html_table(spark):
+    random.seed(12)
+    values = [f"a&{k}b" for k in html.entities.html5] + [f"&{k[:-1]} " for k in html.entities.html5 if k.endswith(";")][::3]
+    values += [f"&#{n};" for n in [*range(0, 300), 8217, 0x1F600, 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0xFFFF, 0x10FFFF, 0x110000, 10**12]] + [f"&#x{n:X}z" for n in (0, 13, 0x41, 0x80, 0x9F, 0x2019, 0x1FFFE, 0x1F600, 10**15)]
+    values += ["", "&", "&&amp;", "&amp;amp;", "&;", "&#;", "&#x;", "&notit;", "&notin;", "&unknown; &Eacute;t&eacute", "x&lt;b&gt;y", "&#00065;", "&#x00041", "&" + "q" * 40]
+    values += ["".join(random.choice(["&", "amp", ";", "#", "1", "x", " ", "lt", "copy", "é", "<"]) for _ in range(12)) for _ in range(400)]
+    got = [r[0] for r in rows(spark, values, T.unescape_entities)]
+    wrong = [(v, g, html.unescape(v)) for v, g in zip(values, got, strict=True) if g != html.unescape(v)]
+    assert not wrong, (len(wrong), wrong[:10])
+    assert rows(spark, ["Caf&eacute; <b>It&#8217;s</b>"], T.strip_tags) == [("Café It’s",)]
+    assert rows(spark, ["⑩ Films", "㎏ x"], T.normalize_title) == [("10 films",), ("kg x",)]
