@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -72,13 +72,32 @@ def ship(spark: SparkSession) -> None:
     context._has_catlink = True
 
 
-def running_sum(rows: DataFrame, order: str, value: str, name: str) -> DataFrame:
-    """Adds the running sum of ``value`` in the order of a unique column, without one task for all rows.
+def _offsets(part: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """(_p, sums over the ranges before): one row for each range partition."""
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    each = part.groupBy("_p").agg(*[c.alias(n) for n, c in sums.items()])
+    return each.select("_p", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in sums])
+
+
+def running_sums(rows: DataFrame, order: str, sums: dict[str, str]) -> DataFrame:
+    """Adds running sums (name -> summed column) in the order of a unique column, without one task for all rows.
 
     Ranges are summed apart; the sums of the ranges before, one row for each, are added.
     """
     part = checkpoint(rows.repartitionByRange(order).withColumn("_p", F.spark_partition_id()))
-    sums = part.groupBy("_p").agg(F.sum(value).alias("_s"))
-    before = sums.withColumn("_b", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_b")
-    own = part.withColumn("_o", F.sum(value).over(Window.partitionBy("_p").orderBy(order)))
-    return own.join(before, "_p").withColumn(name, F.col("_o") + F.col("_b")).drop("_p", "_o", "_b")
+    before = _offsets(part, {f"_b{i}": F.sum(v) for i, v in enumerate(sums.values())})
+    inside = Window.partitionBy("_p").orderBy(order)
+    own = part.withColumns({f"_o{i}": F.sum(v).over(inside) for i, v in enumerate(sums.values())})
+    joined = own.join(F.broadcast(before), "_p")
+    return joined.withColumns({n: F.col(f"_o{i}") + F.col(f"_b{i}") for i, n in enumerate(sums)}).select(*rows.columns, *sums)
+
+
+def numbered(rows: DataFrame, order: list[Column | str], name: str = "i") -> DataFrame:
+    """Adds the row's place in an order, from 1, by ranges and offsets, not by one sorted task.
+
+    The order should be total; rows that it leaves equal are numbered in any way.
+    """
+    keys = {f"_k{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
+    part = checkpoint(rows.withColumns(keys).repartitionByRange(*keys).withColumn("_p", F.spark_partition_id()))
+    placed = part.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*keys)))
+    return placed.join(F.broadcast(_offsets(part, {"_n": F.count("*")})), "_p").withColumn(name, F.col("_r") + F.col("_n")).select(*rows.columns, name)

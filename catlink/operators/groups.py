@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catlink.functions import text as T
-from catlink.functions.runtime import checkpoint, running_sum
+from catlink.functions.runtime import checkpoint, running_sums
 
 #: Fixed values.
 CONTAINER_HINTS = (
@@ -114,17 +114,23 @@ def discover_groups(catalog: DataFrame, known: dict[str, list[str]]) -> DataFram
         "idx", "source_id", "title", F.col("director"), F.col("year").cast("string").alias("year"), blank("spine").alias("bare"), F.trim("spine").rlike("^[0-9]+$").alias("numbered"), (~blank("director")).alias("led"),
         is_container(F.col("title"), F.col("director"), F.col("year"), listed).alias("container"), expected_titles(F.col("title"), known).alias("e"),
     ).select("*", F.col("e.titles").alias("expected"), F.col("e.method").alias("method")).drop("e")
-    x = checkpoint(running_sum(x.withColumn("_cut", (~F.col("bare") | ~F.col("led")).cast("int")), "idx", "_cut", "block").drop("_cut"))
+    follows = F.col("bare") & F.col("led")
+    x = running_sums(x.withColumns({"_cut": (~follows).cast("int"), "_led": follows.cast("int")}), "idx", {"block": "_cut", "_seen": "_led"}).drop("_cut", "_led")
+    x = checkpoint(x)
     fields = ["source_id", "title", "director", "year"]
     row = F.struct(*fields)
+    keep = ["idx", "source_id", "title", "kind", "method", "expected"]
+    k = F.size("expected")
 
-    # no spine, no director: the other rows of the block that the container opens
+    # no spine, no director: the rows of the block that the container opens, numbered by the running count
     one = x.filter("bare and not led and container")
-    members = x.filter("bare and led").select("block", F.struct("idx", row.alias("r")).alias("m"))
-    one = one.join(members.groupBy("block").agg(F.array_sort(F.collect_list("m")).alias("m")), "block", "left").withColumn("m", F.coalesce(F.transform("m", lambda s: s["r"]), F.array().cast(f"array<{catalog_struct(x, fields)}>")))
-    n, k = F.size("m"), F.size("expected")
+    members = x.filter("bare and led").select("block", F.col("_seen").alias("_at"), row.alias("r"))
+    sizes = members.groupBy("block").agg(F.count("*").alias("n"))
+    one = one.join(sizes, "block", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    n = F.col("n")
     one = one.filter((n > 0) | (k > 0)).withColumn("kind", F.lit("spineless"))
     one = one.withColumn("method", F.when(k == 0, "spineless_catalog_children").when(n == k, F.concat("method", F.lit("+spineless_block"))).when(n > 0, F.concat("method", F.lit("+spineless_partial"))).otherwise(F.concat("method", F.lit("+spineless_no_children"))))
+    one_rows = one.select(*keep, "block", "_seen").join(members, "block").withColumn("p", (F.col("_at") - F.col("_seen") - 1).cast("int"))
 
     # spine, no director: positions idx + 1, idx + 2, ... against the expected titles in order
     two = x.filter("numbered and not led and container").filter(k > 0)
@@ -133,20 +139,22 @@ def discover_groups(catalog: DataFrame, known: dict[str, list[str]]) -> DataFram
     tried = wanted.join(x.select("idx", "numbered", "led", *fields), "idx", "left").withColumn("ok", F.coalesce(fits, F.lit(False)))
     first_miss = tried.groupBy("g").agg(F.min(F.when(~F.col("ok"), F.col("p"))).alias("miss"))
     taken = tried.join(first_miss, "g").filter("miss is null or p < miss")
-    two = two.join(taken.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("p", row.alias("r")))).alias("m")).withColumnRenamed("g", "idx"), "idx", "left")
-    two = two.withColumn("m", F.coalesce(F.transform("m", lambda s: s["r"]), F.array().cast(f"array<{catalog_struct(x, fields)}>"))).withColumn("kind", F.lit("spined"))
+    # as many rows as a container has expected titles
+    two = two.join(taken.groupBy("g").agg(F.count("*").alias("n")).withColumnRenamed("g", "idx"), "idx", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("kind", F.lit("spined"))
     two = two.withColumn("method", F.concat("method", F.when(n == k, "+following_spines").when(n > 0, "+following_spines_partial").otherwise("+virtual_only")))
+    two_rows = two.select(*keep).join(taken.select(F.col("g").alias("idx"), "p", row.alias("r")), "idx")
 
     # spine and director: a single row stands for the box, unless a run before it took the row
     three = x.filter("numbered and led and container").filter(k > 0).join(taken.select("idx"), "idx", "left_anti")
-    three = three.withColumn("m", F.array().cast(f"array<{catalog_struct(x, fields)}>")).withColumn("kind", F.lit("spined")).withColumn("method", F.concat("method", F.lit("+single_row_box")))
+    three = three.withColumns({"kind": F.lit("spined"), "method": F.concat("method", F.lit("+single_row_box")), "n": F.lit(0)})
 
-    keep = ["idx", "source_id", "title", "kind", "method", "expected", "m"]
-    groups = one.select(*keep).unionByName(two.select(*keep)).unionByName(three.select(*keep))
     blank_text = F.lit("")
-    virtual = F.transform("expected", lambda t: F.struct(blank_text.alias("source_id"), t.alias("title"), blank_text.alias("director"), blank_text.alias("year"), F.lit(False).alias("real")))
-    real = F.transform("m", lambda r: F.struct(r["source_id"].alias("source_id"), r["title"].alias("title"), F.coalesce(r["director"], blank_text).alias("director"), F.coalesce(r["year"], blank_text).alias("year"), F.lit(True).alias("real")))
-    out = groups.select("idx", "source_id", "title", "kind", "method", F.posexplode(F.when(F.size("m") > 0, real).otherwise(virtual)).alias("p", "c"))
+    child = lambda sid, t, d, y, real: F.struct(sid.alias("source_id"), t.alias("title"), F.coalesce(d, blank_text).alias("director"), F.coalesce(y, blank_text).alias("year"), F.lit(real).alias("real")).alias("c")
+    head = ["idx", "source_id", "title", "kind", "method"]
+    real = one_rows.select(*head, "p", "r").unionByName(two_rows.select(*head, "p", "r")).select(*head, "p", child(F.col("r.source_id"), F.col("r.title"), F.col("r.director"), F.col("r.year"), True))
+    empty = one.select(*keep, "n").unionByName(two.select(*keep, "n")).unionByName(three.select(*keep, "n")).filter("n = 0")
+    virtual = empty.select(*head, F.posexplode("expected").alias("p", "t")).select(*head, "p", child(blank_text, F.col("t"), blank_text, blank_text, False))
+    out = real.unionByName(virtual)
     # groups without catalog rows look their titles up among spineless rows, first row wins
     first = Window.partitionBy("_k").orderBy("idx")
     spare = x.filter("bare and led").withColumn("_k", T.normalize_title(F.col("title"))).filter("_k <> ''").withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("_k", row.alias("spare"))
@@ -158,10 +166,6 @@ def discover_groups(catalog: DataFrame, known: dict[str, list[str]]) -> DataFram
     )
 
 
-def catalog_struct(x: DataFrame, fields: list[str]) -> str:
-    return "struct<" + ",".join(f"{f}:{x.schema[f].dataType.simpleString()}" for f in fields) + ">"
-
-
 def apply_overrides(constituents: DataFrame, overrides: DataFrame) -> DataFrame:
     """Overrides (collection_id, seq text, film_title, film_director, film_year, film_source_id, ord) replace values where not blank.
 

@@ -6,10 +6,12 @@ the cluster's shared folder and look at the driver only at one-row convergence c
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catlink.functions.runtime import checkpoint
+from catlink.functions.runtime import checkpoint, numbered
 
 
 def membership_of(x: DataFrame, id_col: str, list_col: str) -> DataFrame:
@@ -41,14 +43,19 @@ def breadth_first(edges: DataFrame, source, max_depth: int = 1_000_000) -> DataF
     e = checkpoint(both_ways(edges))
     kind = e.schema["src"].dataType.simpleString()
     start = spark.range(1).select(F.lit(source).cast(kind).alias("node"), F.lit(0).cast("long").alias("distance"), F.lit(None).cast(kind).alias("parent"))
-    seen = frontier = checkpoint(start)
+    before, frontier = None, checkpoint(start)
+    levels = [frontier]
     for depth in range(1, max_depth + 1):
         step = frontier.select(F.col("node").alias("src")).join(e, "src").groupBy(F.col("dst").alias("node")).agg(F.min("src").alias("parent"))
-        frontier = checkpoint(step.join(seen.select("node"), "node", "left_anti").select("node", F.lit(depth).cast("long").alias("distance"), "parent"))
+        # neighbours of a level are in it, in the one before or in the next: older levels aren't read again
+        near = frontier.select("node") if before is None else frontier.select("node").unionByName(before.select("node"))
+        before, frontier = frontier, checkpoint(step.join(near, "node", "left_anti").select("node", F.lit(depth).cast("long").alias("distance"), "parent"))
         if frontier.isEmpty():
             break
-        seen = checkpoint(seen.unionByName(frontier))
-    return seen
+        levels.append(frontier)
+        if len(levels) > 64:  # bounds the plan of a long path
+            levels = [checkpoint(reduce(DataFrame.unionByName, levels))]
+    return reduce(DataFrame.unionByName, levels)
 
 
 def shortest_path(edges: DataFrame, membership: DataFrame | None, source, target, max_depth: int = 1000) -> DataFrame:
@@ -119,13 +126,8 @@ def page_rank(edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-8,
 
 
 def indexed_nodes(nodes: DataFrame, name: str = "node") -> DataFrame:
-    """(node, i): dense numbers from 0 in the order of the nodes, by range partitions and offsets, not by one sorted task."""
-    part = nodes.select(name).distinct().repartitionByRange(name).sortWithinPartitions(name).withColumn("_p", F.spark_partition_id())
-    part = checkpoint(part)
-    sizes = part.groupBy("_p").agg(F.count("*").alias("_n"))
-    offsets = sizes.withColumn("_o", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_o")
-    ranked = part.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(name)))
-    return ranked.join(offsets, "_p").select(name, (F.col("_o") + F.col("_r") - 1).alias("i"))
+    """(node, i): dense numbers from 0 in the order of the nodes."""
+    return numbered(nodes.select(name).distinct(), [name], "i").withColumn("i", F.col("i") - 1)
 
 
 def adjacency(edges: DataFrame) -> DataFrame:
@@ -160,13 +162,30 @@ def histogram(x: DataFrame, value: str, bins: int) -> DataFrame:
 
 
 def box_plot(x: DataFrame, value: str) -> DataFrame:
-    """(q1, median, q3, low_whisker, high_whisker, fliers) with exact quartiles and whiskers within 1.5 interquartile ranges."""
-    q = x.agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0] or [0.0] * 3
-    y = x.select(F.col(value).cast("double").alias("x"))
+    """(q1, median, q3, low_whisker, high_whisker, fliers) with exact quartiles and whiskers within 1.5 interquartile ranges.
+
+    Values are ranked by ranges, so no task sorts them all; quartiles are interpolated between two ranks.
+    """
+    y = numbered(x.select(F.col(value).cast("double").alias("x")).filter("x is not null"), ["x"], "i")
+    n = y.count()
+    places = [p * (n - 1) for p in (0.25, 0.5, 0.75)]
+    wanted = sorted({int(p) + k for p in places for k in (1, 2)})
+    at = {r["i"]: r["x"] for r in y.filter(F.col("i").isin(wanted)).collect()}  # six rows at most
+    q = [at[int(p) + 1] + (p - int(p)) * (at.get(int(p) + 2, at[int(p) + 1]) - at[int(p) + 1]) for p in places] if n else [0.0] * 3
     inside = F.col("x").between(q[0] - 1.5 * (q[2] - q[0]), q[2] + 1.5 * (q[2] - q[0]))
     return y.groupBy(F.lit(q[0]).alias("q1"), F.lit(q[1]).alias("median"), F.lit(q[2]).alias("q3")).agg(F.min(F.when(inside, F.col("x"))).alias("low_whisker"), F.max(F.when(inside, F.col("x"))).alias("high_whisker"), F.count_if(~inside).alias("fliers"))
 
 
+def shared_jaccard(edges: DataFrame) -> DataFrame:
+    """(a, b, jaccard) of all pairs of nodes that share a neighbour, a < b: shared ones are counted as the pairs are made."""
+    e = both_ways(edges)
+    d = e.groupBy("src").agg(F.count("*").alias("d"))
+    one, two = e.select(F.col("src").alias("k"), F.col("dst").alias("a")), e.select(F.col("src").alias("k"), F.col("dst").alias("b"))
+    shared = one.join(two, "k").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("s"))
+    x = shared.join(d.withColumnsRenamed({"src": "a", "d": "da"}), "a").join(d.withColumnsRenamed({"src": "b", "d": "db"}), "b")
+    return x.select("a", "b", (F.col("s") / (F.col("da") + F.col("db") - F.col("s"))).alias("jaccard"))
+
+
 def neighbour_jaccard(edges: DataFrame, pairs: DataFrame) -> DataFrame:
     """(a, b, jaccard) of the neighbour sets of pairs, from counts of shared neighbours: no set is gathered.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catlink.functions import text as T
+from catlink.functions.runtime import numbered
 from catlink.operators import curation as C
 from catlink.operators import groups as G
 from catlink.operators import linkage as L
@@ -37,9 +38,7 @@ def catalog_additions_union_sort(spark, d):
     b = table(spark, d, "customer").select((F.col("c_custkey") + 1000000).alias("ord"), F.col("c_name").alias("title"), F.col("c_custkey").cast("string").alias("spine"))
     u = a.unionByName(b.join(a.select("title"), "title", "left_anti"))
     number = F.when(F.col("spine") != "", F.col("spine").cast("long"))
-    from pyspark.sql import Window
-
-    return S.sort_catalog(u, "spine", "ord").withColumn("place", F.row_number().over(Window.orderBy(number.isNull(), number, "ord")).cast("long")).select("title", "spine", "place")
+    return numbered(u, [number.isNull(), number, "ord"], "place").select("title", "spine", F.col("place").cast("long").alias("place"))
 
 
 @query(f"""WITH c AS ({CAT}), r AS ({REF}), a AS ({ALT}) SELECT row_id, {T.title_sql('title')} AS key FROM c WHERE {T.title_sql('title')} <> '' AND {T.title_sql('title')} NOT IN (SELECT {T.title_sql('primary_title')} FROM r WHERE kind = 'movie' UNION SELECT {T.title_sql('title')} FROM a WHERE starts_with(title, 'A '))""")

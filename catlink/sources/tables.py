@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from catlink.functions import text as T
+from catlink.functions.runtime import numbered
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -56,11 +57,9 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def with_row_ids(rows: DataFrame, order: str, spine: str = "spine", numeric_only: bool = False) -> DataFrame:
     """Adds row_no from 1 in a given order, row_id and source_id (the spine, else ``row_n``).
 
-    The order is a column of the source: file order isn't kept by a distributed reader.  A catalog's
-    numbers come from one window over the narrow (order) column.
+    The order is a column of the source: file order isn't kept by a distributed reader.
     """
-    numbers = rows.select(order).distinct().withColumn("row_no", F.row_number().over(Window.orderBy(order)))
-    x = rows.join(numbers, order)
+    x = rows.join(numbered(rows.select(order).distinct(), [order], "row_no"), order)
     s = F.trim(F.coalesce(spine, F.lit("")))
     own = s.rlike("^[0-9]+$") if numeric_only else s != ""
     return x.withColumn("row_id", F.format_string("criterion_row_%05d", F.col("row_no").cast("int"))).withColumn("source_id", F.when(own, s).otherwise(F.concat(F.lit("row_"), F.col("row_no").cast("string"))))
