@@ -296,3 +296,77 @@ def match_method(via: Column, gap: Column, fuzzy: Column, manual: Column) -> Col
 def review_reasons(named: dict[str, Column]) -> Column:
     """Sorted array of the reasons whose conditions hold."""
     return F.array_sort(F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in named.items()]), lambda r: r.isNotNull()))
+
+
+def failure_status(candidates: Column, contaminated: Column, conflict: Column, known_fields: Column) -> Column:
+    """Why a title has no match: its source row first, then its candidates, then their metadata; null where nothing failed."""
+    return (
+        F.when(F.coalesce(contaminated, F.lit(False)), "contaminated_source_row").when(F.coalesce(candidates, F.lit(0)) == 0, "no_match_found")
+        .when(F.coalesce(conflict, F.lit(False)), "metadata_conflict").when(F.coalesce(known_fields, F.lit(0)) == 0, "insufficient_metadata").when(candidates > 1, "multiple_candidates")
+    )
+
+
+def required_lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows joined to a table that must know every key; a key that it lacks is an error that names some."""
+    missing = [r[0] for r in rows.join(table, key, "left_anti").select(key).distinct().orderBy(key).limit(5).collect()]
+    if missing:
+        raise KeyError(f"{key} without a row: {missing}")
+    return rows.join(table, key)
+
+
+def rich_rows(x: DataFrame, id_col: str, either: Sequence[str]) -> DataFrame:
+    """Rows with an id, of a table that has one of the columns; any other table has none."""
+    if id_col not in x.columns or not set(either) & set(x.columns):
+        return x.limit(0)
+    return x.filter(F.trim(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) != "")
+
+
+def validation_metrics(tables: dict[str, DataFrame]) -> DataFrame:
+    """(metric, value): the 24 counts of a finished run.
+
+    tables: catalog (row_id), initial, unmatched, resolved, constituents (ref_id, include), shorts,
+    final (row_id, source_id, ref_id, signal, via), excluded, rare (row_id each), containers (source_id),
+    dispositions (disposition).  Each table is read once.
+    """
+    blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
+    ids = lambda t: tables[t].select("row_id").filter(~blank("row_id")).distinct()
+    flag = tables["containers"].select("source_id").distinct().withColumn("_c", F.lit(True))
+    final = tables["final"].join(flag, "source_id", "left")
+    terminal = ids("initial").union(ids("excluded")).union(ids("rare")).distinct()
+    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    kinds = ["unresolved", "matched_direct_feature", "collection_unpacked", "excluded_short", "rare_edge_case"]
+    done = F.col("disposition").isin(*kinds[1:])
+    parts = [
+        metrics(tables["catalog"], {"source_rows": F.count("*")}), metrics(tables["initial"], {"initial_matches_rows": F.count("*")}), metrics(tables["unmatched"], {"unmatched_tracking_rows": F.count("*")}),
+        metrics(tables["resolved"], {"resolved_collections_rows": F.count("*")}), metrics(tables["shorts"], {"collection_shorts_rows": F.count("*")}),
+        metrics(tables["constituents"], {"collection_constituent_films_rows": F.count("*"), "constituents_with_id": F.coalesce(count(~blank("ref_id")), F.lit(0)), "constituents_included": F.coalesce(count(F.col("include")), F.lit(0))}),
+        metrics(final, {"final_rows": F.count("*"), "final_rows_missing_valid_id": F.coalesce(count(~F.startswith(F.trim(F.coalesce("ref_id", F.lit(""))), F.lit("tt"))), F.lit(0)), "final_rows_not_feature": F.coalesce(count(~blank("signal") & (F.trim("signal") != FEATURE)), F.lit(0)), "container_single_film_violations": F.coalesce(count(F.coalesce("_c", F.lit(False)) & (F.trim(F.coalesce("via", F.lit(""))) != "expanded_collection")), F.lit(0))}),
+        metrics(ids("final"), {"final_unique_row_ids": F.count("*")}), metrics(tables["excluded"], {"excluded_shorts_rows": F.count("*")}), metrics(tables["rare"], {"rare_edge_cases_rows": F.count("*")}),
+        metrics(terminal, {"terminal_status_row_ids": F.count("*")}), metrics(ids("unmatched").join(terminal, "row_id", "left_anti"), {"still_unresolved_row_ids": F.count("*")}),
+        metrics(tables["dispositions"], {**{f"disposition_{k}": F.coalesce(count(F.col("disposition") == k), F.lit(0)) for k in kinds}, "terminal_rows": F.coalesce(count(done), F.lit(0)), "coverage_pct": percentage(F.coalesce(count(done), F.lit(0)), F.count("*"))}),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def quality_checks(x: DataFrame) -> DataFrame:
+    """(check_name, violations) of the seven final checks, from one pass and one aggregate by id.
+
+    x: row_id, ref_id, bucket, kind, runtime, title, year, start_year, retained, explanation, provenance,
+    in_review.
+    """
+    blank = lambda c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == ""
+    verified = F.col("bucket").isin("Years Match", "Years Off")
+    finals = ("Years Match", "Years Off", "Other Content", "Unverified Titles", "Data Issues / Untracked")
+    feature = (F.col("kind") == "movie") & (F.col("runtime") > 40)
+    off = F.col("bucket") == "Years Off"
+    one = {
+        "package_rows": verified & (F.lower("title").rlike("|".join(("collection", "trilogy", "anthology", "box set"))) | F.contains("title", F.lit(" / "))),
+        "rows_without_bucket": ~F.coalesce(F.col("bucket").isin(*finals), F.lit(False)), "verified_rows_without_id": verified & blank("ref_id"),
+        "verified_rows_not_feature": verified & ~F.coalesce(feature, F.lit(False)), "year_off_rows_unexplained": off & (F.col("year").isNull() | F.col("start_year").isNull() | F.col("retained").isNull() | blank("explanation")),
+        "open_reviews": F.col("in_review") & blank("bucket"),
+    }
+    checks = metrics(x, {n: F.count_if(F.coalesce(c, F.lit(False))) for n, c in one.items()})
+    twice = x.filter(verified & ~blank("ref_id")).groupBy("ref_id").agg(F.count("*").alias("n"), F.count_if(blank("provenance")).alias("bare")).filter("n > 1 and bare > 0")
+    spread = x.groupBy("row_id").agg(F.count_distinct("bucket").alias("n")).filter("n > 1")
+    every = checks.unionByName(metrics(twice, {"unexplained_duplicate_ids": F.count("*")})).unionByName(metrics(spread, {"rows_in_several_buckets": F.count("*")}))
+    return every.select(F.col("metric").alias("check_name"), F.col("value").cast("long").alias("violations"))

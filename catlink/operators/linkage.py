@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from catlink.functions import text as T
-from catlink.functions.runtime import ship
+from catlink.functions.runtime import checkpoint, ship
 
 #: Fixed values.
 FEATURE_KINDS = ("movie", "tvMovie", "video")
@@ -181,6 +181,19 @@ def rank_candidates(scored: DataFrame, by: str = "row_id", top: int | None = Non
     return x if top is None else x.filter(F.col("rank") <= top)
 
 
+def best_candidates(scored: DataFrame, by: str = "row_id") -> DataFrame:
+    """The first candidate of each row in the order of ``rank_candidates``, with candidates and margin, without sorting a row's candidates.
+
+    Candidates are summed by row and score where they lie, so a row with very many of them is spread;
+    what is left of a row is one entry for each distinct score.
+    """
+    place = F.struct(F.coalesce("year_difference", F.lit(0)), "ref_id")
+    each = scored.groupBy(by, "score").agg(F.count("*").alias("_n"), F.min_by(F.struct(*[c for c in scored.columns if c not in (by, "score")]), place).alias("_b"))
+    one = each.groupBy(by).agg(F.sum("_n").cast("int").alias("candidates"), F.max_by(F.struct("score", "_n", "_b"), "score").alias("_x"), F.sort_array(F.collect_list("score"), asc=False).alias("_scores"))
+    following = F.when(F.col("_x._n") > 1, F.col("_x.score")).otherwise(F.coalesce(F.get("_scores", 1), F.lit(0)))
+    return one.select(by, "_x.score", "_x._b.*", "candidates", (F.col("_x.score") - following).alias("margin"))
+
+
 def bucket() -> Column:
     """Outcome of a best candidate with score, margin, candidates, year_difference and signal."""
     lone = (F.col("candidates") == 1) | (F.col("margin") >= 15)
@@ -196,8 +209,8 @@ def bucket() -> Column:
 def link(catalog: DataFrame, reference: DataFrame, alternates: DataFrame, credits: DataFrame, people: DataFrame) -> DataFrame:
     """Every catalog row once, with its best candidate and its outcome bucket."""
     pairs = attach_names(all_candidates(catalog, reference, alternates), credits, people)
-    best = rank_candidates(score_candidates(pairs, catalog, reference), top=1)
-    x = catalog.select("row_id", "title").join(best.select("row_id", "ref_id", "score", "margin", "candidates", "year_difference", "signal"), "row_id", "left")
+    best = best_candidates(score_candidates(pairs, catalog, reference).select("row_id", "ref_id", "score", "year_difference", "signal"))
+    x = catalog.select("row_id", "title").join(best, "row_id", "left").select("row_id", "title", "ref_id", "score", "margin", "candidates", "year_difference", "signal")
     return x.withColumn("bucket", bucket())
 
 
@@ -252,40 +265,81 @@ def indel_ratio(a: str, b: str) -> float:
 
 
 @F.pandas_udf(DoubleType())
-def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    order = lambda s: " ".join(sorted((s or "").split()))
-    return pd.Series([indel_ratio(order(x), order(y)) for x, y in zip(a, b, strict=True)], dtype="float64")
+def text_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([indel_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
+
+
+def sorted_words(key: Column) -> Column:
+    return F.array_join(F.array_sort(F.filter(F.split(key, " "), lambda w: w != "")), " ")
+
 
+def with_ratios(pairs: DataFrame) -> DataFrame:
+    """Adds ``ratio`` to pairs of texts (a, b): 100 for equal ones; each distinct other pair is compared once."""
+    other = pairs.filter("a <> b").select("a", "b").distinct()
+    return pairs.join(other.withColumn("_r", text_ratio("a", "b")), ["a", "b"], "left").withColumn("ratio", F.when(F.col("a") == F.col("b"), 100.0).otherwise(F.col("_r"))).drop("_r")
 
-def fuzzy_two_pass(pairs: DataFrame) -> DataFrame:
-    """Decides rows by fuzzy titles: pairs have row_id, ref_id, title, primary_title, original_title, year, start_year, director, names.
 
-    First pass: years within 2, score of 88 or more and 6 ahead of the next.  Second pass, for rows left:
-    within 5, 92 or more.  Returns row_id, ref_id, score, method, reason; every row once.
+def fuzzy_two_pass(pairs: DataFrame, catalog: DataFrame, reference: DataFrame) -> DataFrame:
+    """Decides catalog rows by fuzzy titles; pairs are candidates (row_id, ref_id, name_keys).
+
+    Score: the best ratio of sorted words of the titles, less a penalty for the years' difference, plus a
+    bonus for the best ratio of any director and any name.  First pass: years within 2, 88 or more and 6
+    ahead of the next.  Second pass, for rows left: within 5, 92 or more.  Returns row_id, ref_id, score,
+    method, reason for every catalog row once.
     """
     ship(pairs.sparkSession)
-    key = T.normalize_title
-    gap = F.abs(F.col("year").cast("int") - F.col("start_year").cast("int"))
-    x = pairs.withColumn("gap", gap).withColumn("_t", F.greatest(token_sort_ratio(key(F.col("title")), key(F.col("primary_title"))), token_sort_ratio(key(F.col("title")), key(F.col("original_title")))))
-    director = T.normalize_person(F.coalesce("director", F.lit("")))
-    x = x.withColumn("_d", token_sort_ratio(director, F.array_join("name_keys", " ")))
+    key = lambda c: sorted_words(T.normalize_title(F.col(c)))
+    own = catalog.select("row_id", F.col("year").cast("int").alias("year"), key("title").alias("_t"), F.transform(F.filter(director_keys(F.col("director")), lambda n: n != ""), sorted_words).alias("_d"))
+    other = reference.select("ref_id", F.col("start_year").cast("int").alias("start_year"), F.array_distinct(F.array(key("primary_title"), key("original_title"))).alias("_o"))
+    x = pairs.select("row_id", "ref_id", F.transform(F.filter("name_keys", lambda n: n != ""), sorted_words).alias("_n")).join(own, "row_id").join(other, "ref_id")
+    x = checkpoint(x.withColumn("gap", F.abs(F.col("year") - F.col("start_year"))))
+    titles = x.select("row_id", "ref_id", F.lit("t").alias("what"), F.col("_t").alias("a"), F.explode("_o").alias("b"))
+    people = x.select("row_id", "ref_id", F.lit("d").alias("what"), F.explode("_d").alias("a"), "_n").select("row_id", "ref_id", "what", "a", F.explode("_n").alias("b"))
+    ratios = with_ratios(titles.unionByName(people)).groupBy("row_id", "ref_id").agg(F.max(F.when(F.col("what") == "t", F.col("ratio"))).alias("_t"), F.max(F.when(F.col("what") == "d", F.col("ratio"))).alias("_d"))
     penalty = F.when(F.col("gap").isNull(), 10).when(F.col("gap") == 0, 0).when(F.col("gap") == 1, 6).when(F.col("gap") == 2, 18).otherwise(35)
-    bonus = F.when(director == "", 0).when(F.col("_d") >= 90, 12).when(F.col("_d") >= 80, 7).otherwise(0)
-    x = x.withColumn("score", F.col("_t") - penalty + bonus)
+    bonus = F.when(F.col("_d") >= 90, 12).when(F.col("_d") >= 80, 7).otherwise(0)
+    scored = checkpoint(x.select("row_id", "ref_id", "year", "gap").join(ratios, ["row_id", "ref_id"]).withColumn("score", F.col("_t") - penalty + bonus))
 
     def best(within: int) -> DataFrame:
-        fits = x.filter(F.col("year").isNull() | (F.col("gap") <= within))
-        order = Window.partitionBy("row_id").orderBy(F.desc("score"), "ref_id")
-        ranked = fits.withColumn("_n", F.row_number().over(order)).withColumn("_next", F.coalesce(F.lead("score").over(order), F.lit(-999.0)))
-        return ranked.filter("_n = 1").select("row_id", "ref_id", "score", (F.col("score") - F.col("_next")).alias("ahead"))
+        fits = scored.filter(F.col("year").isNull() | (F.col("gap") <= within)).select("row_id", "ref_id", "score")
+        top = fits.groupBy("row_id").agg(F.min_by(F.struct("ref_id", "score"), F.struct(-F.col("score"), F.col("ref_id"))).alias("b"))
+        rest = fits.join(top.select("row_id", F.col("b.ref_id").alias("_top")), "row_id").filter("ref_id <> _top").groupBy("row_id").agg(F.max("score").alias("_next"))
+        return top.join(rest, "row_id", "left").select("row_id", "b.ref_id", "b.score", (F.col("b.score") - F.coalesce("_next", F.lit(-999.0))).alias("ahead"))
 
-    rows = x.select("row_id").distinct()
-    one = best(2).withColumn("method", F.when((F.col("score") >= 88) & (F.col("ahead") >= 6), "pass1"))
+    one = best(2).withColumn("method", F.when((F.col("score") >= 88) & (F.col("ahead") >= 6), "auto"))
     two = best(5).filter("score >= 92").select("row_id", F.col("ref_id").alias("ref2"), F.col("score").alias("score2"))
-    out = rows.join(one, "row_id", "left").join(two, "row_id", "left")
+    found = scored.select("row_id", F.lit(True).alias("_found")).distinct()
+    out = catalog.select("row_id").join(found, "row_id", "left").join(one, "row_id", "left").join(two, "row_id", "left")
     first, second = F.col("method").isNotNull(), F.col("ref2").isNotNull()
     return out.select(
         "row_id", F.when(first, F.col("ref_id")).when(second, F.col("ref2")).alias("ref_id"), F.when(first, F.col("score")).when(second, F.col("score2")).alias("score"),
-        F.when(first, "pass1").when(second, "pass2").alias("method"),
-        F.when(first | second, F.lit(None)).when(F.col("ref_id").isNull(), "year window removed all").otherwise("ambiguous_or_low_confidence").alias("reason"),
+        F.when(first, "auto").when(second, "second_pass").alias("method"),
+        F.when(first | second, F.lit(None)).when(F.col("_found").isNull(), "no title candidates").when(F.col("ref_id").isNull(), "year window removed all").otherwise("ambiguous_or_low_confidence").alias("reason"),
     )
+
+
+# --- constituents of single collections -------------------------------------------------------
+
+
+def lookup_collections(constituents: DataFrame, reference: DataFrame, alternates: DataFrame, generated_at: str, review_top: int = 10) -> dict[str, DataFrame]:
+    """best and review rows of collections (collection, titles array, method).
+
+    best: one row for each constituent, matched or ``no_match_found``; a collection without constituents has
+    one row ``no_constituent_titles_extracted``.  review: the best ``review_top`` candidates of each
+    constituent.  ``generated_at`` is a parameter, so a run can be repeated.
+    """
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    one = constituents.select("collection", "method", F.posexplode("titles").alias("p", "title")).withColumn("seq", F.col("p") + 1)
+    # a title is looked up once, however many collections name it
+    wanted = one.select("title").distinct().withColumn("row_id", F.col("title"))
+    scored = score_constituents(all_candidates(wanted, reference, alternates, CONSTITUENT_KINDS).join(reference, "ref_id")).withColumn("year_difference", F.lit(None).cast("int"))
+    ranked = checkpoint(rank_candidates(scored, top=review_top).withColumnRenamed("row_id", "title"))
+    fields = ["ref_id", "primary_title", "original_title", "kind", "start_year", "runtime", "genres"]
+    shown = ranked.select("title", "rank", *fields, F.array_join("via", " | ").alias("via"), "score")
+    found = one.join(shown.filter("rank = 1"), "title", "left")
+    status = F.when(F.col("ref_id").isNull(), "no_match_found").otherwise("matched").alias("status")
+    best = found.select("collection", "method", F.col("seq").cast("string").alias("seq"), "title", T.normalize_title(F.col("title")).alias("title_key"), *map(blank, fields), blank("via"), blank("score"), status)
+    none = constituents.filter(F.size("titles") == 0).select("collection", "method", *[F.lit("").alias(c) for c in ("seq", "title", "title_key", *fields, "via", "score")], F.lit("no_constituent_titles_extracted").alias("status"))
+    at = F.lit(generated_at)
+    review = one.select("collection", "method", "seq", "title").join(shown, "title")
+    return {"best": best.unionByName(none).withColumn("generated_at", at), "review": review.withColumn("generated_at", at)}

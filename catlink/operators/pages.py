@@ -14,6 +14,8 @@ RESULT_TITLE = r'(?is)<span[^>]+class="[^"]*global-search__result-title[^"]*"[^>
 IMAGE_ALT = r'(?is)<img[^>]+alt="([^"]+)"'
 ESCAPED_LINK = r'(?is)global-search__film-result-link.*?href="(https://www\.criterion\.com/boxsets/[^"]+)"'
 ESCAPED_ALT = r'(?is)<span class="html-attribute-name">alt</span>="<span class="html-attribute-value">([^<]+)</span>"'
+ESCAPED_TEXT = r'(?is)global-search__result-title[^>]*</span>&gt;</span>(.*?)<span class="html-tag">&lt;/span&gt;</span>'
+FILMS_HEADING = r"films\s+in\s+this\s+set"
 SERIES_TITLE = r"(?i)Eclipse Series\s+(\d+):"
 SERIES_SLUG = r"(?i)/boxsets/\d+-eclipse-series-(\d+)(?:-|$)"
 PRODUCT = r'(?is)"boxset_films":"(.*?)".*?"directors":"(.*?)".*?"slug":"(boxsets/[^"]+)".*?"title":"(Eclipse Series[^"]+)"'
@@ -40,6 +42,19 @@ def text_blocks(pages: DataFrame, tags: str = "p|li|h1|h2|h3") -> DataFrame:
     return x.withColumn("seq", F.row_number().over(Window.partitionBy("page_id").orderBy("pos", "block"))).select("page_id", "seq", "block")
 
 
+def film_section_blocks(pages: DataFrame) -> DataFrame:
+    """(page_id, seq, block): distinct texts under the headings that announce a set's films, up to the next heading or stop text."""
+    section = rf"(?is)<h([1-6])(?:\s[^>]*)?>(?:(?!</h\1>).)*?{FILMS_HEADING}(?:(?!</h\1>).)*</h\1>(.*?)(?=<h[1-6][\s>]|\z)"
+    tags = "a|li|article|div|p"
+    leaf = rf"(?is)<(?:{tags})(?:\s[^>]*)?>(.*?)(?=<(?:{tags})[\s>]|</(?:{tags}|ul|ol|section|body)>|\z)"
+    x = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(section), F.lit(2))).alias("part", "s"))
+    x = x.select("page_id", "part", F.posexplode(F.regexp_extract_all("s", F.lit(leaf), F.lit(1))).alias("pos", "r")).withColumn("block", T.strip_tags(F.col("r")))
+    stop = T.page_key(F.col("block")).rlike("|".join(STOP_SECTIONS))
+    ends = x.groupBy("page_id", "part").agg(F.min(F.when(stop, F.col("pos"))).alias("stop"))
+    x = x.join(ends, ["page_id", "part"]).filter("block <> '' and (stop is null or pos < stop)").groupBy("page_id", "block").agg(F.min(F.struct("part", "pos")).alias("at"))
+    return x.withColumn("seq", F.row_number().over(Window.partitionBy("page_id").orderBy("at"))).select("page_id", "seq", "block")
+
+
 def url_matches(pages: DataFrame) -> DataFrame:
     """(page_id, title, number, url, confidence): result links of saved search pages; the escaped grammar where the plain one finds none."""
     plain = pages.select("page_id", F.posexplode_outer(extract_all(F.col("html"), RESULT_LINK, 1, 2)).alias("pos", "m"))
@@ -47,7 +62,9 @@ def url_matches(pages: DataFrame) -> DataFrame:
     title = T.strip_tags(F.coalesce(F.nullif(F.regexp_extract(body, RESULT_TITLE, 1), F.lit("")), F.regexp_extract(body, IMAGE_ALT, 1)))
     plain = plain.filter("m is not null").select("page_id", "pos", title.alias("title"), F.concat(F.lit("https://www.criterion.com"), F.col("m.g1")).alias("url"), F.lit("saved_html").alias("confidence"))
     window = F.split("html", r"(?i)(?=global-search__film-result-link)")
-    other = pages.select("page_id", F.posexplode(window).alias("pos", "w")).select("page_id", "pos", T.strip_tags(F.regexp_extract(F.substring("w", 1, 2500), ESCAPED_ALT, 1)).alias("title"), F.regexp_extract("w", ESCAPED_LINK, 1).alias("url"), F.lit("saved_html_escaped").alias("confidence")).filter("url <> ''")
+    near = F.substring("w", 1, 2500)  # a fixed value: a result's title stands so near to its link
+    alt, shown = F.regexp_extract(near, ESCAPED_ALT, 1), F.regexp_extract(near, ESCAPED_TEXT, 1)
+    other = pages.select("page_id", F.posexplode(window).alias("pos", "w")).select("page_id", "pos", T.strip_tags(F.when(alt != "", alt).otherwise(shown)).alias("title"), F.regexp_extract("w", ESCAPED_LINK, 1).alias("url"), F.lit("saved_html_escaped").alias("confidence")).filter("url <> ''")
     numbered = lambda d: d.withColumn("number", F.coalesce(T.series_number(F.col("title"), SERIES_TITLE), T.series_number(F.col("url"), SERIES_SLUG))).filter("title <> '' and number is not null")
     plain, other = numbered(plain), numbered(other)
     both = plain.unionByName(other.join(plain.select("page_id").distinct(), "page_id", "left_anti"))

@@ -10,12 +10,13 @@ from catlink.plans.registry import query
 from catlink.plans.standins import MEMBERSHIP, frame, table
 
 M = f"m AS ({MEMBERSHIP})"
-#: A sparse network over whole tables: customers and suppliers with their nations, nations with their regions.
+#: A sparse network over whole tables: customers and suppliers with their nations, nations with their regions and with each other there, so it has cycles.
 SPARSE = (
     "SELECT 'c' || CAST(c_custkey AS STRING) AS src, 'n' || CAST(c_nationkey AS STRING) AS dst FROM customer UNION SELECT 's' || CAST(s_suppkey AS STRING), 'n' || CAST(s_nationkey AS STRING) FROM supplier "
-    "UNION SELECT 'n' || CAST(n_nationkey AS STRING), 'r' || CAST(n_regionkey AS STRING) FROM nation"
+    "UNION SELECT 'n' || CAST(n_nationkey AS STRING), 'r' || CAST(n_regionkey AS STRING) FROM nation "
+    "UNION SELECT 'n' || CAST(a.n_nationkey AS STRING), 'n' || CAST(b.n_nationkey AS STRING) FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey"
 )
-E = f"e AS ({SPARSE.replace('AS STRING', 'AS VARCHAR')}), s AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
+E = f"e AS MATERIALIZED ({SPARSE.replace('AS STRING', 'AS VARCHAR')}), s AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e)"
 
 
 def members(spark, d):
@@ -56,15 +57,21 @@ def graph_degree_stats(spark, d):
     return N.degrees(sparse(spark, d)).agg(F.count("*").alias("nodes"), F.min("degree").alias("low"), F.max("degree").alias("high"), F.avg("degree").alias("mean"), F.sum("degree").alias("total"), F.stddev_pop("degree").alias("std"))
 
 
-@query("""WITH b AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS total FROM lineitem), h AS (SELECT least(19, floor((l_extendedprice - lo) / ((hi - lo) / 20)))::INTEGER AS bin, count(*) AS n FROM lineitem, b GROUP BY 1)
+@query(f"""WITH {DEG}, b AS (SELECT min(degree)::DOUBLE AS lo, max(degree)::DOUBLE AS hi, count(*) AS total FROM d), h AS (SELECT least(19, floor((degree - lo) / ((hi - lo) / 20)))::INTEGER AS bin, count(*) AS n FROM d, b GROUP BY 1)
 SELECT bin, lo + bin * ((hi - lo) / 20) AS low, lo + (bin + 1) * ((hi - lo) / 20) AS high, n, 100.0::DOUBLE * n / total AS percent FROM h, b""")
 def graph_degree_histogram(spark, d):
-    return N.histogram(table(spark, d, "lineitem"), "l_extendedprice", 20)
+    return N.histogram(N.degrees(sparse(spark, d)), "degree", 20)
+
+
+@query(f"""WITH {DEG}, q AS (SELECT quantile_cont(degree, 0.25)::DOUBLE AS q1, quantile_cont(degree, 0.5)::DOUBLE AS median, quantile_cont(degree, 0.75)::DOUBLE AS q3 FROM d), i AS (SELECT degree::DOUBLE AS x, degree BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM d, q)
+SELECT q1, median, q3, (SELECT min(x) FROM i WHERE inside) AS low_whisker, (SELECT max(x) FROM i WHERE inside) AS high_whisker, (SELECT count(*) FROM i WHERE NOT inside) AS fliers FROM q""")
+def graph_degree_boxplot(spark, d):
+    return N.box_plot(N.degrees(sparse(spark, d)), "degree")
 
 
 @query("""WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS median, quantile_cont(o_totalprice, 0.75) AS q3 FROM orders)
 SELECT q1, median, q3, min(o_totalprice) FILTER (o_totalprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS low_whisker, max(o_totalprice) FILTER (o_totalprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS high_whisker, count(*) FILTER (NOT o_totalprice BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS fliers FROM orders, q GROUP BY ALL""")
-def graph_degree_boxplot(spark, d):
+def value_boxplot(spark, d):
     return N.box_plot(table(spark, d, "orders"), "o_totalprice")
 
 
@@ -81,11 +88,19 @@ def graph_bfs_distances(spark, d):
     return N.breadth_first(sparse(spark, d), first_node(spark, d))
 
 
-@query(f"{BFS}, t AS (SELECT max(distance) AS far FROM b) SELECT count(*) AS steps FROM (SELECT unnest(range(0, far + 1)) FROM t)")
+@query(f"""{BFS}, t AS (SELECT node, distance FROM b ORDER BY distance DESC, node LIMIT 1),
+p(node, step) AS (SELECT node, distance FROM t UNION SELECT (SELECT min(src) FROM s JOIN b q ON s.src = q.node AND q.distance = p.step - 1 WHERE s.dst = p.node), step - 1 FROM p WHERE step > 0)
+SELECT step, node FROM p""")
 def graph_shortest_path(spark, d):
+    """The path itself: between two customers of different nations it is the only shortest one."""
     e, start = sparse(spark, d), first_node(spark, d)
     far = N.breadth_first(e, start).orderBy(F.desc("distance"), "node").first()
-    return N.shortest_path(e, None, start, far["node"]).agg(F.count("*").alias("steps"))
+    return N.shortest_path(e, None, start, far["node"]).select(F.col("step").cast("long").alias("step"), "node")
+
+
+@query(f"{BFS} SELECT node, distance AS depth FROM b")
+def graph_reach_depths(spark, d):
+    return N.depth_first_tree(sparse(spark, d), first_node(spark, d)).select("node", "depth")
 
 
 @query()
@@ -108,18 +123,18 @@ def graph_component_sizes(spark, d):
 
 
 def _rank_sql(rounds: int) -> str:
-    step = "".join(f", p{i} AS (SELECT node, 0.15 / k + 0.85 * (coalesce(got, 0) + (1 - (SELECT sum(r / d) FROM p{i - 1} JOIN s ON s.src = p{i - 1}.node JOIN o USING (src))) / k) AS r FROM n CROSS JOIN z LEFT JOIN (SELECT s.dst AS node, sum(r / d) AS got FROM p{i - 1} JOIN s ON s.src = p{i - 1}.node JOIN o USING (src) GROUP BY s.dst) USING (node))" for i in range(1, rounds + 1))
-    return f"WITH {E}, n AS (SELECT DISTINCT src AS node FROM s), z AS (SELECT count(*) AS k FROM n), o AS (SELECT src, count(*) AS d FROM s GROUP BY src), p0 AS (SELECT node, 1.0::DOUBLE / k AS r FROM n, z){step} SELECT node, round(r, 9) AS rank FROM p{rounds}"
+    step = "".join(f", p{i} AS MATERIALIZED (SELECT node, 0.15 / k + 0.85 * (coalesce(got, 0) + (1 - (SELECT sum(r / d) FROM p{i - 1} JOIN s ON s.src = p{i - 1}.node JOIN o USING (src))) / k) AS r FROM n CROSS JOIN z LEFT JOIN (SELECT s.dst AS node, sum(r / d) AS got FROM p{i - 1} JOIN s ON s.src = p{i - 1}.node JOIN o USING (src) GROUP BY s.dst) USING (node))" for i in range(1, rounds + 1))
+    return f"WITH {E}, n AS MATERIALIZED (SELECT DISTINCT src AS node FROM s), z AS MATERIALIZED (SELECT count(*) AS k FROM n), o AS MATERIALIZED (SELECT src, count(*) AS d FROM s GROUP BY src), p0 AS MATERIALIZED (SELECT node, 1.0::DOUBLE / k AS r FROM n, z){step} SELECT node, round(r, 9) AS rank FROM p{rounds}"
 
 
-@query(_rank_sql(5))
+@query(_rank_sql(10))
 def graph_pagerank_k(spark, d):
-    return N.page_rank(sparse(spark, d), tolerance=0.0, rounds=5).select("node", F.round("rank", 9).alias("rank"))
+    return N.page_rank(sparse(spark, d), tolerance=0.0, rounds=10).select("node", F.round("rank", 9).alias("rank"))
 
 
-@query()
+@query(_rank_sql(80).replace("round(r, 9)", "round(r, 7)"))
 def graph_pagerank_converged(spark, d):
-    return N.page_rank(sparse(spark, d))
+    return N.page_rank(sparse(spark, d)).select("node", F.round("rank", 7).alias("rank"))
 
 
 IDS = f"{E}, i AS (SELECT src AS node, row_number() OVER (ORDER BY src) - 1 AS i FROM (SELECT DISTINCT src FROM s))"
@@ -142,10 +157,7 @@ def graph_density(spark, d):
 
 @query(f"""WITH {E}, d AS (SELECT src, count(*) AS d FROM s GROUP BY src), p AS (SELECT a.dst AS a, b.dst AS b, count(*) AS n FROM s a JOIN s b ON a.src = b.src AND a.dst < b.dst GROUP BY ALL) SELECT a, b, n::DOUBLE / (x.d + y.d - n) AS jaccard FROM p JOIN d x ON x.src = a JOIN d y ON y.src = b""")
 def graph_jaccard_neighbours(spark, d):
-    e = sparse(spark, d)
-    s = N.both_ways(e)
-    pairs = s.select(F.col("src").alias("k"), F.col("dst").alias("a")).join(s.select(F.col("src").alias("k"), F.col("dst").alias("b")), "k").filter("a < b").select("a", "b").distinct()
-    return N.neighbour_jaccard(e, pairs)
+    return N.shared_jaccard(sparse(spark, d))
 
 
 @query("WITH c AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL), t AS (SELECT source, sum(n) AS t FROM c GROUP BY source) SELECT source, -sum(n / t * log2(n / t)) AS entropy FROM c JOIN t USING (source) GROUP BY source")

@@ -197,19 +197,22 @@ def _shelf_sql() -> str:
     shelf = SHELF.replace("AS STRING", "AS VARCHAR")
     hints = "|".join(G.CONTAINER_HINTS)
     slashes = SLASHES.format("title")
-    return f"""WITH raw AS ({shelf}),
-x AS (SELECT *, CASE WHEN regexp_full_match(spine, '[0-9]+') THEN spine ELSE 'row_' || idx END AS source_id, spine = '' AS bare, regexp_full_match(spine, '[0-9]+') AS numbered, director <> '' AS led, {T.title_sql('title')} AS k,
-  regexp_matches(lower(title), '{hints}') OR ((director = '' OR year = '') AND regexp_matches(title, '[/:]')) OR {T.title_sql('title')} = 'red trilogy' AS container,
-  CASE WHEN {T.title_sql('title')} = 'red trilogy' THEN ['Red Bolt', 'Red Widget', 'Red Gear'] WHEN contains(title, ' / ') THEN {slashes} ELSE []::VARCHAR[] END AS expected,
-  CASE WHEN {T.title_sql('title')} = 'red trilogy' THEN 'known_collection_map' WHEN contains(title, ' / ') THEN 'slash_split' ELSE 'needs_manual_decomposition' END AS method FROM raw),
-b AS (SELECT *, sum((NOT bare OR NOT led)::INTEGER) OVER (ORDER BY idx) AS block FROM x),
-m1 AS (SELECT h.idx AS g, r.idx, row_number() OVER (PARTITION BY h.idx ORDER BY r.idx) AS seq FROM b h JOIN b r ON h.block = r.block AND r.bare AND r.led WHERE h.bare AND NOT h.led AND h.container),
-w AS (SELECT idx AS g, unnest(range(1, len(expected) + 1)) AS p, unnest(expected) AS want FROM x WHERE numbered AND NOT led AND container AND len(expected) > 0),
-t AS (SELECT g, p, coalesce(r.numbered AND r.led AND (r.k = wk OR contains(r.k, wk) OR contains(wk, r.k)), false) AS ok, r.idx FROM (SELECT *, {T.title_sql('want')} AS wk FROM w) LEFT JOIN x r ON r.idx = g + p),
-taken AS (SELECT g, idx, p AS seq FROM t WHERE p < coalesce((SELECT min(p) FROM t u WHERE u.g = t.g AND NOT u.ok), 99)),
-members AS (SELECT * FROM m1 UNION ALL SELECT * FROM taken),
-c AS (SELECT g, count(*) AS n FROM members GROUP BY g),
-heads AS (SELECT x.*, coalesce(n, 0) AS n FROM x LEFT JOIN c ON c.g = x.idx WHERE container AND ((bare AND NOT led AND (coalesce(n, 0) > 0 OR len(expected) > 0)) OR (numbered AND NOT led AND len(expected) > 0) OR (numbered AND led AND len(expected) > 0 AND x.idx NOT IN (SELECT idx FROM taken))))
+    return f"""WITH raw AS MATERIALIZED (SELECT * FROM ({shelf})),
+keys AS MATERIALIZED (SELECT title, {T.title_sql('title')} AS k FROM (SELECT DISTINCT title FROM raw)),
+x AS MATERIALIZED (SELECT raw.*, k, CASE WHEN regexp_full_match(spine, '[0-9]+') THEN spine ELSE 'row_' || idx END AS source_id, spine = '' AS bare, regexp_full_match(spine, '[0-9]+') AS numbered, director <> '' AS led,
+  regexp_matches(lower(title), '{hints}') OR ((director = '' OR year = '') AND regexp_matches(title, '[/:]')) OR k = 'red trilogy' AS container,
+  CASE WHEN k = 'red trilogy' THEN ['Red Bolt', 'Red Widget', 'Red Gear'] WHEN contains(title, ' / ') THEN {slashes} ELSE []::VARCHAR[] END AS expected,
+  CASE WHEN k = 'red trilogy' THEN 'known_collection_map' WHEN contains(title, ' / ') THEN 'slash_split' ELSE 'needs_manual_decomposition' END AS method FROM raw JOIN keys USING (title)),
+b AS MATERIALIZED (SELECT idx, bare, led, container, sum((NOT bare OR NOT led)::INTEGER) OVER (ORDER BY idx) AS block FROM x),
+m1 AS MATERIALIZED (SELECT h.idx AS g, n FROM b h JOIN (SELECT block, count(*) AS n FROM b WHERE bare AND led GROUP BY block) r USING (block) WHERE h.bare AND NOT h.led AND h.container),
+w AS MATERIALIZED (SELECT idx AS g, unnest(range(1, len(expected) + 1)) AS p, unnest(expected) AS want FROM x WHERE numbered AND NOT led AND container AND len(expected) > 0),
+wk AS MATERIALIZED (SELECT want, {T.title_sql('want')} AS wk FROM (SELECT DISTINCT want FROM w)),
+t AS MATERIALIZED (SELECT g, p, coalesce(r.numbered AND r.led AND (r.k = wk OR contains(r.k, wk) OR contains(wk, r.k)), false) AS ok, r.idx FROM w JOIN wk USING (want) LEFT JOIN x r ON r.idx = g + p),
+miss AS MATERIALIZED (SELECT g, min(p) FILTER (NOT ok) AS broken FROM t GROUP BY g),
+taken AS MATERIALIZED (SELECT g, idx FROM t JOIN miss USING (g) WHERE broken IS NULL OR p < broken),
+c AS MATERIALIZED (SELECT g, n FROM m1 UNION ALL SELECT g, count(*) FROM taken GROUP BY g),
+heads AS (SELECT x.*, coalesce(n, 0) AS n FROM x LEFT JOIN c ON c.g = x.idx WHERE container AND ((bare AND NOT led AND (coalesce(n, 0) > 0 OR len(expected) > 0)) OR (numbered AND NOT led AND len(expected) > 0)
+  OR (numbered AND led AND len(expected) > 0 AND NOT EXISTS (SELECT 1 FROM taken u WHERE u.idx = x.idx))))
 SELECT h.idx, CASE WHEN h.bare THEN 'spineless' ELSE 'spined' END AS kind,
   CASE WHEN h.bare AND len(expected) = 0 THEN 'spineless_catalog_children' ELSE h.method || CASE WHEN h.led THEN '+single_row_box' WHEN h.bare THEN CASE WHEN n = len(expected) THEN '+spineless_block' WHEN n > 0 THEN '+spineless_partial' ELSE '+spineless_no_children' END
     ELSE CASE WHEN n = len(expected) THEN '+following_spines' WHEN n > 0 THEN '+following_spines_partial' ELSE '+virtual_only' END END END AS method,

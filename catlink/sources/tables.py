@@ -21,9 +21,12 @@ def text_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A CSV with a header, all text, null as blank; a byte order mark is not part of the first name."""
-    df = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8")
+def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
+    """A CSV with a header, all text, null as blank; a byte order mark is not part of the first name.
+
+    ``multi_line``: values may hold line ends; such files can't be split, so large ones should do without.
+    """
+    df = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', encoding="UTF-8")
     df = df.toDF(*[c.removeprefix("﻿") for c in df.columns])
     if columns is not None:
         missing = [c for c in columns if c not in df.columns]
@@ -95,6 +98,25 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, one_fi
     (out.coalesce(1) if one_file else out).write.mode("overwrite").csv(path, header=True)
 
 
+def write_sorted(df: DataFrame, path: str, key: str) -> None:
+    """Overwrites a cache with its rows in the order of a key; files follow one another by ranges of it."""
+    df.repartitionByRange(key).sortWithinPartitions(key).write.mode("overwrite").csv(path, header=True)
+
+
+def write_edges(edges: DataFrame, path: str) -> None:
+    """A network for later use: edges as Parquet, in the order of their source."""
+    edges.repartitionByRange("src").sortWithinPartitions("src", "dst").write.mode("overwrite").parquet(path)
+
+
+def read_edges(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def stamped(df: DataFrame, at: str, name: str = "generated_at") -> DataFrame:
+    """Adds a run's time, given as text, so a repeated run gives the same rows."""
+    return df.withColumn(name, F.lit(at))
+
+
 def write_buckets(df: DataFrame, path: str, by: str) -> None:
     """One pass, one folder for each value of a column."""
     df.write.mode("overwrite").partitionBy(by).parquet(path)

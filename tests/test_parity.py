@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from catlink.plans import basic_queries, curation_queries, linkage_queries, network_queries, registry, text_queries  # noqa: F401
+from catlink.plans import basic_queries, curation_queries, linkage_queries, network_queries, registry, source_queries, text_queries  # noqa: F401
 from tests.parity import SF, compare, connection
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables here")
