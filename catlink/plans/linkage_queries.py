@@ -176,11 +176,93 @@ def link_url_similarity(spark, d):
 
 @query()
 def link_fuzzy_two_pass(spark, d):
+    """With alternate titles and directors, which need text ratios; tests compare it with a loop over pairs."""
     c, r, a, k, p = sides(spark, d)
-    pairs = L.attach_names(L.all_candidates(c, r, a), k, p).join(c, "row_id").join(r, "ref_id")
-    return L.fuzzy_two_pass(pairs)
+    return L.fuzzy_two_pass(L.attach_names(L.all_candidates(c, r, a), k, p), c, r)
 
 
 @query(f"SELECT ref_id, {SIGNAL} AS signal FROM ({duck(REFERENCE)})")
 def short_classifier(spark, d):
     return frame(spark, d, REFERENCE).select("ref_id", L.short_signal(F.col("kind"), F.col("runtime").cast("string"), F.col("genres")).alias("signal"))
+
+
+@query(f"""WITH catalog AS ({duck(CATALOG)}), reference AS ({duck(REFERENCE)}), c AS (SELECT row_id, year, {T.title_sql('title')} AS k FROM catalog), r AS (SELECT ref_id, start_year, {T.title_sql('primary_title')} AS k1, {T.title_sql('original_title')} AS k2 FROM reference WHERE kind IN ('movie', 'short', 'tvMovie', 'video')),
+p AS (SELECT row_id, ref_id, abs(year - start_year) AS gap FROM c JOIN r ON k <> '' AND (k = k1 OR k = k2)), s AS (SELECT *, 100.0::DOUBLE - CASE gap WHEN 0 THEN 0 WHEN 1 THEN 6 WHEN 2 THEN 18 ELSE 35 END AS score FROM p),
+o AS (SELECT *, row_number() OVER w AS n, score - coalesce(lead(score) OVER w, -999) AS ahead FROM s WHERE gap <= 2 WINDOW w AS (PARTITION BY row_id ORDER BY score DESC, ref_id)),
+t AS (SELECT * FROM s WHERE gap <= 5 QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY score DESC, ref_id) = 1),
+a AS (SELECT row_id, o.ref_id AS ref1, o.score AS s1, coalesce(o.score >= 88 AND o.ahead >= 6, false) AS first, t.ref_id AS ref2, t.score AS s2, coalesce(t.score >= 92, false) AS second, row_id IN (SELECT row_id FROM p) AS found FROM catalog LEFT JOIN (SELECT * FROM o WHERE n = 1) o USING (row_id) LEFT JOIN t USING (row_id))
+SELECT row_id, CASE WHEN first THEN ref1 WHEN second THEN ref2 END AS ref_id, CASE WHEN first THEN s1 WHEN second THEN s2 END AS score, CASE WHEN first THEN 'auto' WHEN second THEN 'second_pass' END AS method,
+  CASE WHEN first OR second THEN NULL WHEN NOT found THEN 'no title candidates' WHEN ref1 IS NULL THEN 'year window removed all' ELSE 'ambiguous_or_low_confidence' END AS reason FROM a""")
+def link_fuzzy_by_titles(spark, d):
+    """Candidates by own titles and no directors: every ratio is 100, so SQL can tell the passes and reasons."""
+    c, r, *_ = sides(spark, d)
+    c = c.withColumn("director", F.lit(""))
+    pairs = L.title_candidates(c, r).select("row_id", "ref_id").distinct().withColumn("name_keys", F.array().cast("array<string>"))
+    return L.fuzzy_two_pass(pairs, c, r)
+
+
+@query(f"""{ALL}, best AS (SELECT *, {BUCKET} AS bucket FROM ranked WHERE rank = 1 AND row_id % 7 <> 0), reviewed AS (SELECT r.row_id, r.ref_id FROM ranked r JOIN best b USING (row_id) WHERE b.bucket = 'review' AND r.rank <= 5)
+SELECT 'matched' AS outcome, row_id, ref_id, '' AS note FROM best WHERE bucket = 'matched' UNION ALL SELECT 'exclude_short', row_id, ref_id, '' FROM best WHERE bucket = 'exclude_short'
+UNION ALL SELECT 'review', row_id, ref_id, '' FROM reviewed UNION ALL SELECT 'unmatched', row_id, NULL, CASE WHEN row_id % 7 = 0 THEN 'collection_container_skipped' ELSE '' END FROM catalog WHERE row_id NOT IN (SELECT row_id FROM best)""")
+def initial_matches_outputs(spark, d):
+    """The four outputs of one pass; every seventh row stands for a collection."""
+    from catlink.plans import pipelines
+
+    c, r, a, k, p = sides(spark, d)
+    out = pipelines.initial_matches(c, r, a, k, p, containers=c.filter("row_id % 7 = 0"))
+    rows = lambda n: out[n].select(F.lit(n).alias("outcome"), "row_id", F.col("ref_id") if "ref_id" in out[n].columns else F.lit(None).cast("long").alias("ref_id"), F.col("note") if "note" in out[n].columns else F.lit("").alias("note"))
+    return rows("matched").unionByName(rows("exclude_short")).unionByName(rows("review")).unionByName(rows("unmatched"))
+
+
+NAMED = """
+SELECT 'Set ' || CAST(p_size AS STRING) AS collection, CASE WHEN p_size % 10 = 0 THEN 'needs_manual_decomposition' ELSE 'slash_split' END AS method, p_size AS size, p_name AS title, min(p_partkey) AS o FROM part WHERE p_partkey % 5 = 0 GROUP BY p_size, p_name"""
+
+
+@query(f"""WITH {BASE}, n AS ({duck(NAMED)}), f AS (SELECT collection, method, title, row_number() OVER (PARTITION BY collection ORDER BY o) AS seq FROM n WHERE size % 10 <> 0),
+u AS (SELECT collection, method, title, seq FROM f UNION ALL SELECT DISTINCT collection, method, 'No Such Film At All', 99 FROM f WHERE collection = 'Set 11'),
+catalog2 AS (SELECT DISTINCT title AS row_id, title FROM u), {PAIRS.replace("'short', ", "'tvMiniSeries', ").replace("FROM catalog ", "FROM catalog2 ")},
+y AS (SELECT row_id AS title, ref_id, kind, (CASE WHEN list_contains(via, 'title_exact') OR list_contains(via, 'aka_exact') THEN 50 ELSE 0 END + CASE WHEN list_contains(via, 'title_normalized') OR list_contains(via, 'aka_normalized') THEN 25 ELSE 0 END
+  + CASE WHEN kind = 'movie' THEN 20 WHEN kind IN ('tvMovie', 'video', 'tvMiniSeries') THEN 10 ELSE 0 END + CASE WHEN start_year IS NOT NULL THEN 5 ELSE 0 END + CASE WHEN runtime >= 41 THEN 10 ELSE 0 END
+  - CASE WHEN list_contains(string_split(genres, ','), 'Short') THEN 20 ELSE 0 END)::INTEGER AS score FROM pairs JOIN reference USING (ref_id)),
+z AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY score DESC, ref_id) AS rank FROM y)
+SELECT 'best' AS output, collection, CASE WHEN seq = 99 THEN (SELECT count(*) + 1 FROM f g WHERE g.collection = u.collection) ELSE seq END::VARCHAR AS seq, u.title, coalesce(ref_id::VARCHAR, '') AS ref_id, coalesce(score::VARCHAR, '') AS score, CASE WHEN ref_id IS NULL THEN 'no_match_found' ELSE 'matched' END AS status FROM u LEFT JOIN (SELECT * FROM z WHERE rank = 1) b ON u.title = b.title
+UNION ALL SELECT DISTINCT 'best', collection, '', '', '', '', 'no_constituent_titles_extracted' FROM n WHERE size % 10 = 0
+UNION ALL SELECT 'review', collection, seq::VARCHAR, u.title, ref_id::VARCHAR, score::VARCHAR, rank::VARCHAR FROM u JOIN z ON u.title = z.title WHERE rank <= 10""")
+def lookup_single_collections(spark, d):
+    n = frame(spark, d, NAMED)
+    listed = n.groupBy("collection", "method", "size").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "title"))), lambda x: x["title"]).alias("t"))
+    more = F.when(F.col("collection") == "Set 11", F.concat("t", F.array(F.lit("No Such Film At All")))).otherwise(F.col("t"))
+    one = listed.select("collection", "method", F.when(F.col("size") % 10 == 0, F.array().cast("array<string>")).otherwise(more).alias("titles"))
+    _, r, a, *_ = sides(spark, d)
+    out = L.lookup_collections(one, r, a, "2001-02-03T04:05:06+00:00")
+    text = lambda x, last: x.select("collection", F.col("seq").cast("string").alias("seq"), "title", F.col("ref_id").cast("string").alias("ref_id"), F.col("score").cast("string").alias("score"), F.col(last).cast("string").alias("status"))
+    return text(out["best"], "status").withColumn("output", F.lit("best")).unionByName(text(out["review"], "rank").withColumn("output", F.lit("review")))
+
+
+VOTED = "SELECT l_orderkey AS k, l_linenumber AS seq, CASE WHEN l_returnflag = 'A' AND l_orderkey % 3 = 0 THEN CAST(l_suppkey % 4 AS STRING) || ' Lee' ELSE '' END AS film_director, l_suppkey AS supp, l_partkey AS part FROM lineitem"
+
+
+@query(f"""WITH v AS ({duck(VOTED)}), e AS (SELECT k, film_director AS n, count(*) AS c, min(seq) AS o FROM v WHERE film_director <> '' GROUP BY ALL), e1 AS (SELECT k, n FROM e QUALIFY row_number() OVER (PARTITION BY k ORDER BY c DESC, o, n) = 1),
+h AS (SELECT o_orderkey AS k, o_clerk FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Boss ' || o_custkey ELSE ' ' END AS o_clerk FROM orders)),
+g AS (SELECT k, 'S' || supp AS n, count(*) AS c, min(seq * 1000000 + part) AS o FROM v GROUP BY ALL), g1 AS (SELECT k, n FROM g QUALIFY row_number() OVER (PARTITION BY k ORDER BY c DESC, o, n) = 1)
+SELECT k::VARCHAR AS source_id, coalesce(e1.n, nullif(trim(o_clerk), ''), g1.n, '') AS director FROM (SELECT DISTINCT k FROM v) LEFT JOIN e1 USING (k) LEFT JOIN h USING (k) LEFT JOIN g1 USING (k)""")
+def group_director_votes(spark, d):
+    from catlink.plans import pipelines
+    from catlink.plans.standins import table
+
+    v = frame(spark, d, VOTED).withColumn("source_id", F.col("k").cast("string"))
+    boss = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("source_id"), F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("Boss "), F.col("o_custkey").cast("string"))).otherwise(" ").alias("director"))
+    named = v.select("source_id", (F.col("seq").cast("long") * 1000000 + F.col("part")).alias("ord"), F.concat(F.lit("S"), F.col("supp").cast("string")).alias("name"))
+    return pipelines.group_directors(v.select("source_id", "seq", "film_director"), boss, named)
+
+
+@query()
+def expand_collection_films(spark, d):
+    """Constituents of a shelf with their best matches; compared by its parts elsewhere."""
+    from catlink.plans import pipelines
+    from catlink.plans.text_queries import KNOWN, SHELF
+
+    x = frame(spark, d, SHELF).withColumn("source_id", F.when(F.col("spine").rlike("^[0-9]+$"), F.col("spine")).otherwise(F.concat(F.lit("row_"), F.col("idx").cast("string"))))
+    _, r, a, k, p = sides(spark, d)
+    none = spark.createDataFrame([], "collection_id string, seq string, film_title string, film_director string, film_year string, film_source_id string, imdb_id string, is_short string, notes string, ord int")
+    return pipelines.expand_collections(x, KNOWN, none, r, a, k, p)["films"].select("idx", "seq", "film_title", "ref_id", "is_short", "notes")
