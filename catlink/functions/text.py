@@ -11,7 +11,6 @@ give the same chains as DuckDB SQL, for parity checks; they leave out what the t
 from __future__ import annotations
 
 import html.entities
-import json
 import re
 import unicodedata
 from functools import cache
@@ -68,15 +67,32 @@ def _class(characters: list[str]) -> str:
     return "[" + "".join(out) + "]"
 
 
-def _map(table: str) -> Column:
-    """A constant map, folded from one JSON string."""
-    return F.from_json(F.lit(table), "map<string,string>")
+#: Separate the keys and values of a constant table.
+KEY, VALUE = "\x1e", "\x1f"
+
+
+def _table(entries: dict[str, str]) -> str:
+    """A constant table as one string: cheap in a plan, searched only for the rare texts that need it."""
+    return "".join(f"{KEY}{k}{VALUE}{v}" for k, v in entries.items()) + KEY
+
+
+def _find(table: str, key: Column) -> Column:
+    """The value (of 24 characters at most) of a key without control characters, or null."""
+    mark = F.concat(F.lit(KEY), key, F.lit(VALUE))
+    place = F.instr(F.lit(table), mark)
+    return F.when(place > 0, F.split_part(F.substr(F.lit(table), place + F.length(mark), F.lit(24)), F.lit(KEY), F.lit(1)))
+
+
+def _only(table: str, key: Column) -> Column:
+    """As ``_find`` for values that are never empty: the empty string where there is none, and one use of the table."""
+    rest = F.split_part(F.lit(table), F.concat(F.lit(KEY), key, F.lit(VALUE)), F.lit(2))
+    return F.split_part(F.substr(rest, F.lit(1), F.lit(24)), F.lit(KEY), F.lit(1))
 
 
 @cache
 def _longer(kind: str) -> tuple[str, str]:
     more = folds(kind)[2]
-    return _class([c for c, _ in more]), json.dumps(dict(more))
+    return _class([c for c, _ in more]), _table(dict(more))
 
 
 def _squeeze(x: Column) -> Column:
@@ -87,7 +103,7 @@ def _fold(x: Column, kind: str) -> Column:
     source, target, more = folds(kind)
     held, table = _longer(kind)
     x = F.translate(x, source, target)  # first: what the longer folds leave in upper case stays so
-    each = F.transform(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)), lambda c: F.coalesce(F.try_element_at(_map(table), c), c))
+    each = F.transform(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)), lambda c: F.coalesce(F.nullif(_only(table, c), F.lit("")), c))
     return F.when(x.rlike(held), F.array_join(each, "")).otherwise(x)
 
 
@@ -145,7 +161,7 @@ def _entities() -> tuple[str, str, str]:
     low = {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
     controls = [n for n in (*range(1, 9), 0xB, *range(0xE, 0x20), 0x7F)]
     codes = {**{str(n): c for n, c in low.items()}, **{str(n): "" for n in controls}, "0": "\ufffd", "13": "\r"}
-    return json.dumps({**usual, **table}), "|".join(bare), json.dumps(codes)
+    return _table({**usual, **table}), "|".join(bare), _table(codes)
 
 
 def _reference(ref: Column) -> Column:
@@ -160,21 +176,26 @@ def _reference(ref: Column) -> Column:
     plane = number.bitwiseAND(F.lit(0xFFFF)) >= 0xFFFE  # not characters, like FDD0-FDEF
     one = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
     of_number = F.coalesce(
-        F.try_element_at(_map(codes), number.cast("string")),
+        _find(codes, number.cast("string")),
         F.when((number > 0x10FFFF) | number.between(0xD800, 0xDFFF), "\ufffd").when(plane | number.between(0xFDD0, 0xFDEF), "").otherwise(one),
     )
-    table = _map(named)
+    # the whole reference, else the longest name that may stand without a semicolon; one search in the table for both
     head = F.regexp_extract(ref, f"^({bare})", 1)
-    of_name = F.coalesce(F.try_element_at(table, ref), F.when(head != "", F.concat(F.try_element_at(table, head), F.substr(ref, F.length(head) + 1))), F.concat(F.lit("&"), ref))
+    told = F.transform(F.filter(F.array(F.when(ref.rlike("^[A-Za-z0-9]+;?$"), ref).otherwise(""), head), lambda k: k != ""), lambda k: F.struct(k.alias("k"), _only(named, k).alias("v")))
+    hit = F.get(F.filter(told, lambda t: t["v"] != ""), F.lit(0))
+    of_name = F.coalesce(F.concat(hit["v"], F.substr(ref, F.length(hit["k"]) + 1)), F.concat(F.lit("&"), ref))
     return F.when(F.startswith(ref, F.lit("#")), of_number).otherwise(of_name)
 
 
 def unescape_entities(x: Column) -> Column:
     """Character references resolved once, by name (with or without a semicolon, as HTML 5 has them) and by number."""
-    refs = F.regexp_extract_all(x, F.lit(REFERENCE), F.lit(1))
-    between = F.split(x, REFERENCE, -1)
-    done = F.array_join(F.zip_with(between, F.transform(refs, _reference), lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
-    return F.when(x.rlike(REFERENCE), done).otherwise(x)
+
+    def resolve(text: Column) -> Column:
+        refs = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1))
+        return F.array_join(F.zip_with(F.split(text, REFERENCE, -1), F.transform(refs, _reference), lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
+
+    # the text is bound to a name, so it is neither computed nor written into the plan again for each use
+    return F.when(F.contains(x, F.lit("&")), F.get(F.transform(F.array(x), resolve), F.lit(0))).otherwise(x)
 
 
 def hint_key(x: Column) -> Column:

@@ -320,3 +320,82 @@ def url_cascade(spark, d):
     exact = table(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("key"), F.concat(F.lit("page-"), F.col("s_suppkey").cast("string")).alias("url"))
     numbered = table(spark, d, "nation").filter("n_nationkey < 5").select(F.col("n_nationkey").alias("number"), F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("url"))
     return P.url_cascade(rows, cache, exact, numbered, rows.limit(0).select("row_id", F.lit("").alias("url")))
+
+
+#: A finished run over part and orders: every table of the 24 counts.
+RUN = {
+    "catalog": "SELECT CAST(p_partkey AS STRING) AS row_id FROM part",
+    "initial": "SELECT CAST(p_partkey AS STRING) AS row_id FROM part WHERE p_size < 20",
+    "unmatched": "SELECT CAST(p_partkey AS STRING) AS row_id FROM part WHERE p_size >= 15",
+    "resolved": "SELECT o_orderkey AS id FROM orders WHERE o_orderstatus = 'F'",
+    "constituents": "SELECT CASE WHEN l_returnflag = 'A' THEN ' ' ELSE 'tt' || CAST(l_partkey AS STRING) END AS ref_id, l_returnflag = 'R' AS include FROM lineitem",
+    "shorts": "SELECT l_orderkey AS id FROM lineitem WHERE l_quantity < 5",
+    "final": "SELECT CAST(p_partkey % 500 AS STRING) AS row_id, CAST(p_size AS STRING) AS source_id, CASE WHEN p_size % 9 = 0 THEN 'nm7' ELSE ' tt1' END AS ref_id, CASE WHEN p_size % 4 = 0 THEN 'runtime_40_or_less' WHEN p_size % 4 = 1 THEN '' ELSE 'feature_or_unknown' END AS signal, CASE WHEN p_size % 2 = 0 THEN 'expanded_collection' ELSE 'direct' END AS via FROM part",
+    "excluded": "SELECT CAST(p_partkey AS STRING) AS row_id FROM part WHERE p_size BETWEEN 30 AND 33",
+    "rare": "SELECT CASE WHEN p_size = 44 THEN '' ELSE CAST(p_partkey AS STRING) END AS row_id FROM part WHERE p_size BETWEEN 40 AND 44",
+    "containers": "SELECT DISTINCT CAST(p_size AS STRING) AS source_id FROM part WHERE p_size > 35",
+    "dispositions": "SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'unresolved' WHEN '2-HIGH' THEN 'matched_direct_feature' WHEN '3-MEDIUM' THEN 'collection_unpacked' WHEN '5-LOW' THEN 'excluded_short' ELSE 'rare_edge_case' END AS disposition FROM orders",
+}
+_IDS = {t: f"(SELECT DISTINCT row_id FROM {t} WHERE row_id <> '')" for t in ("initial", "unmatched", "final", "excluded", "rare")}
+_TERMINAL = f"(SELECT row_id FROM {_IDS['initial']} UNION SELECT row_id FROM {_IDS['excluded']} UNION SELECT row_id FROM {_IDS['rare']})"
+_COUNTS = {
+    **{m: f"SELECT count(*) FROM {t}" for m, t in {"source_rows": "catalog", "initial_matches_rows": "initial", "unmatched_tracking_rows": "unmatched", "resolved_collections_rows": "resolved", "collection_shorts_rows": "shorts", "collection_constituent_films_rows": "constituents", "final_rows": "final", "excluded_shorts_rows": "excluded", "rare_edge_cases_rows": "rare"}.items()},
+    "constituents_with_id": "SELECT count(*) FROM constituents WHERE trim(ref_id) <> ''", "constituents_included": "SELECT count(*) FROM constituents WHERE include",
+    "final_rows_missing_valid_id": "SELECT count(*) FROM final WHERE NOT starts_with(trim(ref_id), 'tt')", "final_rows_not_feature": "SELECT count(*) FROM final WHERE signal NOT IN ('', 'feature_or_unknown')",
+    "container_single_film_violations": "SELECT count(*) FROM final WHERE source_id IN (SELECT source_id FROM containers) AND via <> 'expanded_collection'",
+    "final_unique_row_ids": f"SELECT count(*) FROM {_IDS['final']}", "terminal_status_row_ids": f"SELECT count(*) FROM {_TERMINAL}", "still_unresolved_row_ids": f"SELECT count(*) FROM {_IDS['unmatched']} WHERE row_id NOT IN {_TERMINAL}",
+    **{f"disposition_{k}": f"SELECT count(*) FROM dispositions WHERE disposition = '{k}'" for k in ("unresolved", "matched_direct_feature", "collection_unpacked", "excluded_short", "rare_edge_case")},
+    "terminal_rows": "SELECT count(*) FROM dispositions WHERE disposition <> 'unresolved'", "coverage_pct": "SELECT round(100.0 * count(*) FILTER (disposition <> 'unresolved') / count(*), 2) FROM dispositions",
+}
+
+
+@query("WITH " + ", ".join(f"{t} AS ({duck(q)})" for t, q in RUN.items()) + " " + " UNION ALL ".join(f"SELECT '{m}' AS metric, ({q})::DOUBLE AS value" for m, q in _COUNTS.items()))
+def validation_all_metrics(spark, d):
+    return C.validation_metrics({t: frame(spark, d, q) for t, q in RUN.items()})
+
+
+FINAL = """
+SELECT p_partkey % 1900 AS row_id, CASE WHEN p_size % 17 = 0 THEN ' ' ELSE 'tt' || CAST(p_partkey % 1500 AS STRING) END AS ref_id,
+  CASE WHEN p_size % 10 = 0 THEN 'Other Content' WHEN p_size % 10 = 1 THEN 'Years Off' WHEN p_size = 42 THEN '' WHEN p_size % 10 = 2 THEN 'Unverified Titles' ELSE 'Years Match' END AS bucket,
+  CASE p_type WHEN 'PROMO' THEN 'video' ELSE 'movie' END AS kind, p_size * 4 AS runtime, CASE WHEN p_size = 5 THEN p_name || ' Trilogy' WHEN p_size = 6 THEN 'x / ' || p_name ELSE p_name END AS title,
+  1950 + p_size AS year, CASE WHEN p_size = 21 THEN CAST(NULL AS INT) ELSE 1950 END AS start_year, CASE WHEN p_size = 31 THEN CAST(NULL AS BOOLEAN) ELSE true END AS retained, CASE WHEN p_size = 11 THEN '' ELSE 'because' END AS explanation,
+  CASE WHEN p_size % 3 = 0 THEN 'merged' ELSE '' END AS provenance, p_size > 40 AS in_review FROM part"""
+
+
+@query(f"""WITH x AS (SELECT *, bucket IN ('Years Match', 'Years Off') AS verified FROM ({duck(FINAL)}))
+SELECT 'package_rows' AS check_name, count(*) AS violations FROM x WHERE verified AND (regexp_matches(lower(title), 'collection|trilogy|anthology|box set') OR contains(title, ' / '))
+UNION ALL SELECT 'rows_without_bucket', count(*) FROM x WHERE bucket = '' UNION ALL SELECT 'verified_rows_without_id', count(*) FROM x WHERE verified AND trim(ref_id) = ''
+UNION ALL SELECT 'verified_rows_not_feature', count(*) FROM x WHERE verified AND NOT (kind = 'movie' AND runtime > 40)
+UNION ALL SELECT 'year_off_rows_unexplained', count(*) FROM x WHERE bucket = 'Years Off' AND (year IS NULL OR start_year IS NULL OR retained IS NULL OR explanation = '')
+UNION ALL SELECT 'open_reviews', count(*) FROM x WHERE in_review AND bucket = ''
+UNION ALL SELECT 'unexplained_duplicate_ids', count(*) FROM (SELECT ref_id FROM x WHERE verified AND trim(ref_id) <> '' GROUP BY ref_id HAVING count(*) > 1 AND count(*) FILTER (provenance = '') > 0)
+UNION ALL SELECT 'rows_in_several_buckets', count(*) FROM (SELECT row_id FROM x GROUP BY row_id HAVING count(DISTINCT bucket) > 1)""")
+def quality_all_checks(spark, d):
+    return C.quality_checks(frame(spark, d, FINAL))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN 'contaminated_source_row' WHEN p_size % 5 = 0 THEN 'no_match_found' WHEN p_brand = 'Brand#1' THEN 'metadata_conflict' WHEN p_size % 3 = 0 THEN 'insufficient_metadata' WHEN p_size % 5 > 1 THEN 'multiple_candidates' END AS status FROM part""")
+def failure_statuses(spark, d):
+    status = C.failure_status(F.col("p_size") % 5, F.col("p_type") == "PROMO", F.col("p_brand") == "Brand#1", F.col("p_size") % 3)
+    return table(spark, d, "part").select("p_partkey", status.alias("status"))
+
+
+@query("SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
+def required_lookup_rows(spark, d):
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey").join(c.select("o_custkey"), "o_custkey", "left_semi")
+    return C.required_lookup(o, c, "o_custkey").select("o_orderkey", "c_name")
+
+
+@query("SELECT l_orderkey, film_title FROM (SELECT l_orderkey, l_comment_like AS film_title, CASE WHEN l_returnflag = 'A' THEN '' ELSE 's' || l_suppkey END AS sid FROM (SELECT *, 'Film ' || l_partkey AS l_comment_like FROM lineitem)) WHERE sid <> ''")
+def rich_collection_rows(spark, d):
+    x = table(spark, d, "lineitem").select("l_orderkey", F.concat(F.lit("Film "), F.col("l_partkey").cast("string")).alias("film_title"), F.when(F.col("l_returnflag") == "A", "").otherwise(F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).alias("collection_source_id"))
+    bare = x.select("l_orderkey", "collection_source_id")
+    rich = lambda t: C.rich_rows(t, "collection_source_id", ["film_title", "include_in_dataset"])
+    return rich(x).select("l_orderkey", "film_title").unionByName(rich(bare).select("l_orderkey", F.lit("").alias("film_title")))
+
+
+@query("SELECT o_orderkey, o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 5000) AS skipped FROM orders")
+def container_skip_flags(spark, d):
+    roots = table(spark, d, "customer").filter("c_acctbal > 5000").select(F.col("c_custkey").alias("o_custkey"), F.lit(True).alias("_root")).distinct()
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey").join(roots, "o_custkey", "left").select("o_orderkey", F.coalesce("_root", F.lit(False)).alias("skipped"))

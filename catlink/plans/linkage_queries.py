@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catlink.functions import text as T
+from catlink.functions.runtime import checkpoint
 from catlink.operators import linkage as L
 from catlink.plans.registry import query
 from catlink.plans.standins import ALTERNATES, CATALOG, CREDITS, PEOPLE, REFERENCE, duck, frame
@@ -118,11 +119,14 @@ QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY score DESC, (kind = 'mov
 def link_hint_scores(spark, d):
     c, r, a, k, p = sides(spark, d)
     allowed = r.filter(F.col("kind").isin(*L.HINT_KINDS))
-    keyed = lambda x, source, t: x.select("ref_id", F.lit(source).alias("source"), T.hint_key(F.col(t)).alias("key"))
-    index = keyed(allowed, "primary", "primary_title").unionByName(keyed(allowed, "original", "original_title")).unionByName(keyed(a.join(allowed.select("ref_id"), "ref_id", "left_semi"), "aka", "title")).distinct()
-    hits = c.select("row_id", T.hint_key(F.col("title")).alias("key")).filter("key <> ''").join(index, "key")
+    # keys are made once and kept: as expressions they would be repeated in every filter and join below
+    own, other = L.hint_sides(c, L.attach_names(allowed, k, p))
+    own, other = checkpoint(own), checkpoint(other)
+    aka = a.join(allowed.select("ref_id"), "ref_id", "left_semi").select("ref_id", F.lit("aka").alias("source"), T.hint_key(F.col("title")).alias("key"))
+    keyed = lambda source, key: other.select("ref_id", F.lit(source).alias("source"), F.col(key).alias("key"))
+    index = keyed("primary", "_h1").unionByName(keyed("original", "_h2")).unionByName(checkpoint(aka)).filter("key <> ''").distinct()
+    hits = own.select("row_id", F.col("_h").alias("key")).filter("key <> ''").join(index, "key")
     group = hits.groupBy("row_id").agg(F.array_sort(F.collect_set("source")).alias("sources"), F.count_distinct("ref_id").alias("candidates"))
-    own, other = L.hint_sides(c, L.attach_names(r, k, p))
     x = hits.select("row_id", "ref_id").distinct().join(group, "row_id").join(own, "row_id").join(other, "ref_id")
     return L.best_hint(L.score_hints(x), "row_id").select("row_id", "ref_id", "score", "candidates", "confidence")
 

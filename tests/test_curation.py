@@ -90,3 +90,10 @@ def test_stream_links_every_new_row(spark, tmp_path):
     stream = spark.readStream.schema(catalog.schema).parquet(str(tmp_path / "in"))
     link_stream(stream, reference, none, credits, people, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert [r.bucket for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["matched"]
+
+
+def test_required_lookup_names_what_is_missing(spark):
+    rows, known = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(KeyError, match="2"):
+        C.required_lookup(rows, known, "k")
+    assert C.required_lookup(rows.filter("k = 1"), known, "k").collect()[0].v == "a"
