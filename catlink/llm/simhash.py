@@ -306,6 +306,8 @@ def drop_near_duplicates(
     one that stays.  Shingles are compared as 64-bit hashes; texts without words are equal.
 
     Rows repeated with equal id and text are one document; rows without an id come after all others.
+    The texts of one group of candidates stream through one task in order, which holds the shingle hashes of
+    those that stay; copies of one text are one entry there, so a large group of exact copies is not.
     """
     ship(docs.sparkSession)
     key, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
@@ -323,8 +325,8 @@ def drop_near_duplicates(
         edges = links if edges is None else edges.unionByName(links)
     roots = connected_components(edges).withColumnsRenamed({"node": "_n", "component": "_root"})
     grouped = checkpoint(texts.select("_i", "_h", node[names[0]].alias("_n")).join(roots, "_n", "left").select("_i", "_h", F.coalesce("_root", "_n").alias("_root")))
-    several = grouped.groupBy("_root").count().filter("count > 1").select("_root")
-    asked = grouped.join(several, "_root")
+    several = grouped.groupBy("_root").agg(F.count("*").alias("_n"), F.lit(True).alias("_several")).filter("_n > 1")
+    asked = lookup(grouped, several, "_root", grouped.count()).drop("_several")
     sent = own.join(asked, ["_i", "_h"]).select("_root", "_i", "_h", "_t").mapInArrow(_shingle_sets(words_each), "_root long, _i long, _h long, _s binary")
     sent = sent.repartition("_root").sortWithinPartitions("_root", "_i", "_h")
     gone = sent.mapInArrow(_near_copies(similarity), "_h long")
