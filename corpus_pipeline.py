@@ -2,6 +2,13 @@
 
 Every stage reads what its predecessor wrote, works on all of it, and returns the columns of
 documents (the last one returns tokens).  Clean documents pass all stages whole.
+
+Cases, for all stages: a null text is an empty one and is kept as null; an empty text is kept by the
+classifier and by the benchmark stage, and of all empty texts the near-duplicate stage keeps one; rows
+repeated with equal id and text become one document in the near-duplicate stage; rows without an id
+take part, after all others; ids are integers; very long texts are read whole, each by one task; columns
+beside doc_id, text and n_chars are carried unchanged, whatever their names; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -13,7 +20,7 @@ from catlink.llm.bpe import bpe_encode
 from catlink.llm.decontaminate import drop_contaminated
 from catlink.llm.simhash import drop_near_duplicates
 from catlink.llm.suffix_dedup import suffix_dedup
-from catlink.llm.token_rollup import shared_folder
+from catlink.llm.token_rollup import delete_folder, shared_folder
 from catlink.llm.weak_labels import drop_rejected
 
 #: Repeated passages from this many bytes on lose their later copies: under 50 words of usual length.
@@ -66,10 +73,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; each result is written to the shared folder and read again."""
+    """Applies the stages to documents; each result is written to the shared folder and read again; the last one stays there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = shared_folder(spark, "pipeline")
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
         docs = spark.read.parquet(f"{folder}/{i}")
+        if i:  # its predecessor's rows are all written anew
+            delete_folder(spark, f"{folder}/{i - 1}")
     return docs
