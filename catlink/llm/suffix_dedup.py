@@ -48,7 +48,7 @@ from catlink.functions.runtime import checkpoint, lookup, ship
 from catlink.llm.textbytes import Rolling, blocks, fmix, sliding_argmin, text_buffer
 
 ANCHOR_BYTES = 48
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 NEED, FULL, OWNER = 1, 2, 4
 #: Stands for a null id, which is the earliest.
 NO_ID = -(2**63)
@@ -334,11 +334,11 @@ def suffix_dedup(
     counted = checkpoint(own.mapInArrow(_count_stretches(min_bytes), "_r long, _i long, _k long, _d long, _c long"))
     order = F.min(F.struct(F.col("_i"), F.col("_r")))
     by_stretch = counted.groupBy("_k", "_d").agg(F.sum("_c").alias("_n"), order.alias("_first"))
-    by_stretch = checkpoint(by_stretch)
     # kinds of an anchor are counted by partial sums, and a hot anchor's stretches aren't gathered to learn the count
     kinds = by_stretch.groupBy("_k").agg(F.count("*").alias("_kinds"))
     kinds = kinds.withColumn("_rows", F.col("_kinds"))
-    status = lookup(by_stretch, kinds, "_k", by_stretch.count(), "_rows").filter("_n >= 2 or _kinds >= 2")
+    # there are no more stretches than counted rows, so the bound on hot anchors holds
+    status = lookup(by_stretch, kinds, "_k", counted.count(), "_rows").filter("_n >= 2 or _kinds >= 2")
     status = status.select("_k", "_d", F.col("_first._r").alias("_owner"), (F.when(F.col("_kinds") >= 2, NEED).otherwise(0) + F.when(F.col("_n") >= 2, FULL).otherwise(0)).alias("_s"))
     told = counted.select("_r", "_k", "_d").distinct().join(status, ["_k", "_d"]).withColumn("_f", F.col("_s") + F.when(F.col("_r") == F.col("_owner"), OWNER).otherwise(0)).select("_r", "_d", "_f")
     told = checkpoint(told)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 #: Lower-cases A-Z and leaves every other byte alone.
 LOWER = np.arange(256, dtype=np.uint8)
