@@ -36,9 +36,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
 
     Edges are undirected; loops and repeats are allowed; edges with a null end are ignored.
     """
-    now = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropna()
-    loops = now.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("component"))
-    now = checkpoint(now.filter("src <> dst").distinct())
+    # the edges may be dear to make: they are made once, also for the loops
+    given = checkpoint(edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropna().distinct())
+    loops = given.filter("src = dst").select(F.col("src").alias("node"), F.col("src").alias("component"))
+    now = given.filter("src <> dst")
     seen = None
     while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
