@@ -231,18 +231,18 @@ def _link_shards(radius: int):
             if len(values) < 2:
                 return None
             member, first = link_shard(values, radius)
-            return pa.RecordBatch.from_arrays([pa.array(member.view(np.int64)), pa.array(first.view(np.int64))], names=["src", "dst"]) if len(member) else None
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(member), last[1])), pa.array(member.view(np.int64)), pa.array(first.view(np.int64))], names=["_k", "src", "dst"]) if len(member) else None
 
         for batch in batches:
-            shard, value = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            shard, value, family = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
             if len(shard) == 0:
                 continue
-            cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+            cuts = [0, *(np.flatnonzero((shard[1:] != shard[:-1]) | (family[1:] != family[:-1])) + 1).tolist(), len(shard)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                if shard[a] != last:
+                if (shard[a], family[a]) != last:
                     if held and (out := close()) is not None:
                         yield out
-                    last, held = shard[a], []
+                    last, held = (shard[a], family[a]), []
                 held.append(value[a:b])
         if held and (out := close()) is not None:
             yield out
@@ -259,12 +259,16 @@ def _slice(value: Column, low: int, high: int) -> Column:
     return F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
 
 
-def close_links(distinct: DataFrame, value: str, radius: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Edges (src, dst) that connect the distinct 64-bit values of each component of the radius graph."""
-    v = F.col(value)
+def close_links(distinct: DataFrame, value: str, radius: int, shard_rows: int = SHARD_ROWS, family: str | None = None) -> DataFrame:
+    """Edges (src, dst) that connect the distinct 64-bit values of each component of the radius graph.
+
+    family: a column of whole numbers; only values with the same one are compared, and ``family`` is
+    the first column of the edges, as ``_k``.
+    """
+    v, k = F.col(value), F.col(family) if family else F.lit(0)
     bands = _bands(0, 64, radius + 1)
-    shards = F.array(*[F.xxhash64(F.lit(i), _slice(v, a, b)) for i, (a, b) in enumerate(bands)])
-    dealt = distinct.select(v.alias("_f"), F.posexplode(shards).alias("_band", "_s"))
+    shards = F.array(*[F.xxhash64(k, F.lit(i), _slice(v, a, b)) for i, (a, b) in enumerate(bands)])
+    dealt = distinct.select(k.alias("_k"), v.alias("_f"), F.posexplode(shards).alias("_band", "_s"))
     large = dealt.groupBy("_s").count().filter(F.col("count") > shard_rows).select("_s", F.lit(True).alias("_large"))
     # over the other bits, rotated so that the band's own come last
     anew = []
@@ -276,9 +280,11 @@ def close_links(distinct: DataFrame, value: str, radius: int, shard_rows: int =
             inner.append(F.xxhash64("_s", F.lit(lo), F.col("_f").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))))
         anew.append(F.when(F.col("_band") == i, F.array(*inner)))
     finer = F.when(F.col("_large"), F.coalesce(*anew)).otherwise(F.array("_s"))
-    shard = dealt.join(large, "_s", "left").select(F.explode(finer).alias("_s"), "_f")
-    shard = shard.repartition("_s").sortWithinPartitions("_s")
-    return shard.mapInArrow(_link_shards(radius), "src long, dst long")
+    shard = dealt.join(large, "_s", "left").select(F.explode(finer).alias("_s"), "_f", "_k")
+    # two families whose shards have one hash stay apart as well
+    shard = shard.repartition("_s").sortWithinPartitions("_s", "_k")
+    out = shard.mapInArrow(_link_shards(radius), "_k long, src long, dst long")
+    return out if family else out.drop("_k")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 4, radius: int = 4, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -317,12 +323,11 @@ def drop_near_duplicates(
     # one row for each text first, so that a large group of copies is summed where it lies
     texts = checkpoint(prints.groupBy("_h", *names).agg(F.min("_i").alias("_i")))
     node = {c: F.xxhash64(F.lit(k), F.col(c)) for k, c in enumerate(names)}
-    edges = None
-    for k, c in enumerate(names):
-        links = close_links(texts.select(c).distinct(), c, radius).select(*[F.xxhash64(F.lit(k), F.col(x)).alias(x) for x in ("src", "dst")])
-        if k:  # fingerprints of one text belong together
-            links = links.unionByName(texts.select(node[names[0]].alias("src"), node[c].alias("dst")))
-        edges = links if edges is None else edges.unionByName(links)
+    # all families in one search, told apart by their number
+    every = texts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("_m"), F.col(c).alias("_v")) for k, c in enumerate(names)])).alias("x")).select("x._m", "x._v").distinct()
+    edges = close_links(every, "_v", radius, family="_m").select(*[F.xxhash64(F.col("_k").cast("int"), F.col(x)).alias(x) for x in ("src", "dst")])
+    if members > 1:  # fingerprints of one text belong together
+        edges = edges.unionByName(texts.select(F.explode(F.array(*[F.struct(node[names[0]].alias("src"), node[c].alias("dst")) for c in names[1:]])).alias("e")).select("e.src", "e.dst"))
     roots = connected_components(edges).withColumnsRenamed({"node": "_n", "component": "_root"})
     grouped = checkpoint(texts.select("_i", "_h", node[names[0]].alias("_n")).join(roots, "_n", "left").select("_i", "_h", F.coalesce("_root", "_n").alias("_root")))
     several = grouped.groupBy("_root").agg(F.count("*").alias("_n"), F.lit(True).alias("_several")).filter("_n > 1")
