@@ -21,7 +21,8 @@ def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = _both(edges)
     least = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"), F.count("*").alias("_n"))
     joined = lookup(both, least, "src", 2 * rows).filter("dst > src")
-    return joined.select(F.col("dst").alias("src"), F.col("low").alias("dst")).filter("src <> dst").distinct()
+    # one edge for each given one at most: repeats may stay until the small star
+    return joined.select(F.col("dst").alias("src"), F.col("low").alias("dst")).filter("src <> dst")
 
 
 def _small_star(edges: DataFrame, rows: int) -> DataFrame:
