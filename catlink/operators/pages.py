@@ -74,10 +74,13 @@ def url_matches(pages: DataFrame) -> DataFrame:
 
 def product_seeds(pages: DataFrame) -> DataFrame:
     """(number, title, url, directors, films): product blobs of saved pages, the first of each series number."""
-    html = T.unescape_entities(T.unescape_entities(F.col("html")))
-    x = pages.select("page_id", F.posexplode(extract_all(html, PRODUCT, 1, 2, 3, 4)).alias("pos", "m"))
-    text = lambda g: T.strip_tags(T.decode_json_text(F.col(f"m.g{g}")))
-    x = x.select("page_id", "pos", text(4).alias("title"), F.concat(F.lit("https://www.criterion.com/"), T.decode_json_text(F.col("m.g3"))).alias("url"), text(2).alias("directors"), text(1).alias("films"))
+    # a page is resolved once, before its four groups are taken
+    x = pages.select("page_id", T.unescape_entities(T.unescape_entities(F.col("html"))).alias("html"))
+    x = x.select("page_id", F.posexplode(extract_all(F.col("html"), PRODUCT, 1, 2, 3, 4)).alias("pos", "m"))
+    # one expression for all texts, as it is long
+    texts = F.transform(F.array("m.g4", "m.g2", "m.g1"), lambda g: T.strip_tags(T.decode_json_text(g)))
+    x = x.select("page_id", "pos", texts.alias("t"), F.concat(F.lit("https://www.criterion.com/"), T.decode_json_text(F.col("m.g3"))).alias("url"))
+    x = x.select("page_id", "pos", F.get("t", 0).alias("title"), "url", F.get("t", 1).alias("directors"), F.get("t", 2).alias("films"))
     x = x.withColumn("number", T.series_number(F.col("title"), SERIES_TITLE)).filter("number is not null")
     first = Window.partitionBy("number").orderBy("page_id", "pos")
     return x.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select("number", "title", "url", "directors", "films")

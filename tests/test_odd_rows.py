@@ -28,3 +28,14 @@ def test_halves_are_rounded_as_the_cast_does(spark, tmp_path):
 def test_notes_of_long_keys(spark, tmp_path):
     folder, con = tables(tmp_path, part="SELECT k::BIGINT AS p_partkey, 'Brand#1' AS p_brand, (k % 50 + 1)::INTEGER AS p_size FROM (VALUES (7), (99999), (100000), (1200000), (123456)) AS v(k)")
     check(spark, "override_notes", folder, con)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_page_is_resolved_once_for_all_its_groups(spark):
+    from catlink.operators import pages as P
+
+    pages = spark.createDataFrame([(1, "x")], "page_id long, html string")
+    assert plan_of(P.product_seeds(pages)).count("[^\\t\\n") <= 24
