@@ -48,10 +48,11 @@ def film_section_blocks(pages: DataFrame) -> DataFrame:
     tags = "a|li|article|div|p"
     leaf = rf"(?is)<(?:{tags})(?:\s[^>]*)?>(.*?)(?=<(?:{tags})[\s>]|</(?:{tags}|ul|ol|section|body)>|\z)"
     x = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(section), F.lit(2))).alias("part", "s"))
-    x = x.select("page_id", "part", F.posexplode(F.regexp_extract_all("s", F.lit(leaf), F.lit(1))).alias("pos", "r")).withColumn("block", T.strip_tags(F.col("r")))
-    stop = T.page_key(F.col("block")).rlike("|".join(STOP_SECTIONS))
-    ends = x.groupBy("page_id", "part").agg(F.min(F.when(stop, F.col("pos"))).alias("stop"))
-    x = x.join(ends, ["page_id", "part"]).filter("block <> '' and (stop is null or pos < stop)").groupBy("page_id", "block").agg(F.min(F.struct("part", "pos")).alias("at"))
+    # a section's texts are cut at its first stop text where they stand, so sections are found once and not joined with themselves
+    texts = x.select("page_id", "part", F.transform(F.regexp_extract_all("s", F.lit(leaf), F.lit(1)), T.strip_tags).alias("t"))
+    stop = F.get(F.filter(F.transform("t", lambda t, i: F.when(T.page_key(t).rlike("|".join(STOP_SECTIONS)), i)), lambda i: i.isNotNull()), 0)
+    x = texts.select("page_id", "part", "t", stop.alias("stop")).select("page_id", "part", "stop", F.posexplode("t").alias("pos", "block"))
+    x = x.filter("block <> '' and (stop is null or pos < stop)").groupBy("page_id", "block").agg(F.min(F.struct("part", "pos")).alias("at"))
     return x.withColumn("seq", F.row_number().over(Window.partitionBy("page_id").orderBy("at"))).select("page_id", "seq", "block")
 
 

@@ -39,3 +39,12 @@ def test_a_page_is_resolved_once_for_all_its_groups(spark):
 
     pages = spark.createDataFrame([(1, "x")], "page_id long, html string")
     assert plan_of(P.product_seeds(pages)).count("[^\\t\\n") <= 24
+
+
+def test_sections_are_found_once(spark):
+    from catlink.operators import pages as P
+
+    pages = spark.createDataFrame([(1, "<h2>Films in this set</h2><li>A: 1950</li><li></li><li>Newsletter</li><li>B: 1951</li><h2>x</h2><h3>films in this set</h3><p>B: 1951</p><p>A: 1950</p>")], "page_id long, html string")
+    blocks = P.film_section_blocks(pages)
+    assert "Join" not in plan_of(blocks)
+    assert [(r.seq, r.block) for r in blocks.orderBy("seq").collect()] == [(1, "A: 1950"), (2, "B: 1951")]
