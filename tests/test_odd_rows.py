@@ -64,3 +64,11 @@ def test_picks_by_title_are_those_of_each_row(spark):
     each = L.pick_best(s.withColumnRenamed("row_id", "title").join(w, "title"), "k", "want", "year").select("k", "ref_id", "score")
     by_title = w.join(L.pick_best_by_title(s, w.select("title", "want", "year")), ["title", "want", "year"]).select("k", "ref_id", "score")
     assert sorted(map(tuple, by_title.collect())) == sorted(map(tuple, each.collect()))
+
+
+def test_pairs_of_shared_neighbours_are_not_joined_again(spark):
+    from catlink.operators import networks as N
+
+    found = N.shared_jaccard(spark.createDataFrame([("a", "h"), ("b", "h"), ("b", "g")], "src string, dst string"))
+    assert plan_of(found).index("Aggregate") < plan_of(found).index("Join")
+    assert sorted(map(tuple, found.collect())) == [("a", "b", 0.5), ("g", "h", 0.5)]
