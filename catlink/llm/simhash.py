@@ -31,6 +31,7 @@ input are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ from catlink.llm.textbytes import LOWER, SPACE, blocks, fmix, text_buffer, words
 from catlink.operators.components import connected_components
 
 LEAF = 64
+PARTS = 16
 SHARD_ROWS = 20_000
 
 
@@ -96,6 +98,37 @@ def fingerprint_family(data: np.ndarray, offsets: np.ndarray, shingle: int, memb
     return out
 
 
+def sketches(data: np.ndarray, offsets: np.ndarray, words_each: int) -> np.ndarray:
+    """64 bits for each row's set of word shingles: four bits of each of 16 minima; 0 for a text without words."""
+    hashes, owner, shingles = shingle_hashes(data, offsets, words_each)
+    out = np.zeros(len(shingles), np.uint64)
+    if len(hashes) == 0:
+        return out
+    edge = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+    key = fmix(np.arange(1, 2 * PARTS + 1, dtype=np.uint64))
+    for k in range(PARTS):
+        least = np.minimum.reduceat((hashes ^ key[2 * k]) * (key[2 * k + 1] | np.uint64(1)), edge)
+        out[owner[edge]] |= (fmix(least) & np.uint64(15)) << np.uint64(4 * k)
+    return out
+
+
+def same_parts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of the 16 parts of two sketches are equal."""
+    x = a ^ b
+    x = x | x >> np.uint64(1)
+    x = (x | x >> np.uint64(2)) & np.uint64(0x1111111111111111)
+    return PARTS - np.bitwise_count(x).astype(np.int64)
+
+
+def least_parts(similarity: float, missed: float = 0.001) -> int:
+    """The number of equal parts that sets of the similarity reach, but for ``missed`` of them."""
+    p = similarity + (1 - similarity) / 16
+    below, t = 0.0, 0
+    while t < PARTS and (below := below + comb(PARTS, t) * p**t * (1 - p) ** (PARTS - t)) <= missed:
+        t += 1
+    return t
+
+
 class VantageTree:
     """A vantage-point tree over 64-bit values and their Hamming distance, from which members can leave."""
 
@@ -154,11 +187,12 @@ class VantageTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def linked(values: np.ndarray, radius: int) -> np.ndarray:
+def linked(values: np.ndarray, radius: int, marks: np.ndarray | None = None, least: int = 0) -> np.ndarray:
     """Which values have another within the radius: a dual traversal of a vantage-point tree's leaves.
 
     A pair of leaves is skipped when their ranges of distances to a common vantage point are farther
-    apart than the radius; other pairs are compared as blocks.
+    apart than the radius; other pairs are compared as blocks.  With sketches as ``marks``, only pairs with
+    ``least`` equal parts count.
     """
     tree = VantageTree(values)
     out = np.zeros(len(values), bool)
@@ -179,34 +213,39 @@ def linked(values: np.ndarray, radius: int) -> np.ndarray:
             near = np.bitwise_count(values[leaf][:, None] ^ values[others][None, :]) <= radius
             if at == 0:
                 near[np.arange(len(leaf)), np.arange(len(leaf))] = False  # the leaf itself stands first
+            if marks is not None:
+                a, b = np.nonzero(near)
+                far = same_parts(marks[leaf[a]], marks[others[b]]) < least
+                near[a[far], b[far]] = False
             out[leaf] |= near.any(axis=1)
             out[others] |= near.any(axis=0)
     return out
 
 
-def link_shard(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(member, first of its component) for every member that has a link; values are distinct."""
-    values = values[linked(values, radius)]
-    n = len(values)
-    if n == 0:
-        return values, values
+def link_shard(values: np.ndarray, radius: int, marks: np.ndarray | None = None, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(member, first of its component) for every member that has a link, as places; values, or values with their marks, are distinct."""
+    place = np.flatnonzero(linked(values, radius, marks, least))
+    values, marks = values[place], None if marks is None else marks[place]
     tree = VantageTree(values)
     member, first = [], []
-    for seed in range(n):
+    for seed in range(len(values)):
         if not tree.alive[seed]:
             continue
         tree.leave(np.array([seed]))
         reached, todo = [seed], [seed]
         while todo:
-            new = tree.within(values[todo.pop()], radius)
+            at = todo.pop()
+            new = tree.within(values[at], radius)
+            if marks is not None:
+                new = new[same_parts(marks[new], marks[at]) >= least]
             if len(new):
                 tree.leave(new)
                 reached += new.tolist()
                 todo += new.tolist()
         if len(reached) > 1:
-            member.append(values[reached])
-            first.append(np.full(len(reached), values[seed]))
-    return (np.concatenate(member), np.concatenate(first)) if member else (values[:0], values[:0])
+            member.append(place[reached])
+            first.append(np.full(len(reached), place[seed]))
+    return (np.concatenate(member), np.concatenate(first)) if member else (place[:0], place[:0])
 
 
 def _fingerprint_rows(shingle: int):
@@ -220,32 +259,41 @@ def _fingerprint_rows(shingle: int):
     return run
 
 
-def _link_shards(radius: int):
-    """Streams a partition sorted by shard; holds one shard at a time."""
+def _link_shards(radius: int, least: int | None):
+    """Streams a partition sorted by shard; holds one shard at a time.  Edges are of values, or of sketches if these decide too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, []
 
         def close():
-            values = np.unique(np.concatenate(held)).view(np.uint64)
-            if len(values) < 2:
-                return None
-            member, first = link_shard(values, radius)
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(member), last[1])), pa.array(member.view(np.int64)), pa.array(first.view(np.int64))], names=["_k", "src", "dst"]) if len(member) else None
+            values = np.concatenate([x for x, _ in held])
+            if least is None:
+                values = nodes = np.unique(values)
+                member, first = link_shard(values, radius)
+            else:
+                nodes = np.concatenate([x for _, x in held])
+                order = np.lexsort((nodes, values))
+                values, nodes = values[order], nodes[order]
+                new = np.append(True, (values[1:] != values[:-1]) | (nodes[1:] != nodes[:-1]))
+                values, nodes = values[new], nodes[new]
+                member, first = link_shard(values, radius, nodes, least)
+            member, first = nodes[member], nodes[first]
+            other = member != first
+            return pa.RecordBatch.from_arrays([pa.array(x[other].view(np.int64)) for x in (member, first)], names=["src", "dst"])
 
         for batch in batches:
-            shard, value, family = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+            shard, value, node = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
             if len(shard) == 0:
                 continue
-            cuts = [0, *(np.flatnonzero((shard[1:] != shard[:-1]) | (family[1:] != family[:-1])) + 1).tolist(), len(shard)]
+            cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                if (shard[a], family[a]) != last:
-                    if held and (out := close()) is not None:
-                        yield out
-                    last, held = (shard[a], family[a]), []
-                held.append(value[a:b])
-        if held and (out := close()) is not None:
-            yield out
+                if shard[a] != last:
+                    if held:
+                        yield close()
+                    last, held = shard[a], []
+                held.append((value[a:b].view(np.uint64), node[a:b].view(np.uint64)))
+        if held:
+            yield close()
 
     return run
 
@@ -259,16 +307,17 @@ def _slice(value: Column, low: int, high: int) -> Column:
     return F.shiftrightunsigned(value, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
 
 
-def close_links(distinct: DataFrame, value: str, radius: int, shard_rows: int = SHARD_ROWS, family: str | None = None) -> DataFrame:
+def close_links(distinct: DataFrame, value: str, radius: int, shard_rows: int = SHARD_ROWS, family: str | None = None, sketch: str | None = None, least: int = 0) -> DataFrame:
     """Edges (src, dst) that connect the distinct 64-bit values of each component of the radius graph.
 
-    family: a column of whole numbers; only values with the same one are compared, and ``family`` is
-    the first column of the edges, as ``_k``.
+    family: a column of whole numbers; values with different ones are in different shards.
+    sketch: a column of ``sketches``; rows link only if ``least`` of their parts are equal as well, and the
+    edges are of sketches.
     """
     v, k = F.col(value), F.col(family) if family else F.lit(0)
     bands = _bands(0, 64, radius + 1)
     shards = F.array(*[F.xxhash64(k, F.lit(i), _slice(v, a, b)) for i, (a, b) in enumerate(bands)])
-    dealt = distinct.select(k.alias("_k"), v.alias("_f"), F.posexplode(shards).alias("_band", "_s"))
+    dealt = distinct.select((F.col(sketch) if sketch else F.lit(0).cast("long")).alias("_k"), v.alias("_f"), F.posexplode(shards).alias("_band", "_s"))
     large = dealt.groupBy("_s").count().filter(F.col("count") > shard_rows).select("_s", F.lit(True).alias("_large"))
     # over the other bits, rotated so that the band's own come last
     anew = []
@@ -280,11 +329,10 @@ def close_links(distinct: DataFrame, value: str, radius: int, shard_rows: int =
             inner.append(F.xxhash64("_s", F.lit(lo), F.col("_f").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))))
         anew.append(F.when(F.col("_band") == i, F.array(*inner)))
     finer = F.when(F.col("_large"), F.coalesce(*anew)).otherwise(F.array("_s"))
-    shard = dealt.join(large, "_s", "left").select(F.explode(finer).alias("_s"), "_f", "_k")
-    # two families whose shards have one hash stay apart as well
-    shard = shard.repartition("_s").sortWithinPartitions("_s", "_k")
-    out = shard.mapInArrow(_link_shards(radius), "_k long, src long, dst long")
-    return out if family else out.drop("_k")
+    # few: at most one for each ``shard_rows`` rows
+    shard = dealt.join(F.broadcast(large), "_s", "left").select(F.explode(finer).alias("_s"), "_f", "_k")
+    shard = shard.repartition("_s").sortWithinPartitions("_s")
+    return shard.mapInArrow(_link_shards(radius, least if sketch else None), "src long, dst long")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = 4, radius: int = 4, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -307,7 +355,10 @@ def drop_near_duplicates(
     """The rows of ``docs`` without those that are near copies of a row that stays.
 
     Texts are candidates for each other when links of any of ``members`` fingerprints reach from one
-    to the other.  In each group of candidates, by id and then by hash of the text, a text stays
+    to the other.  A link also needs sketches of the ``words_each``-word shingles (16 minima, four bits each) that agree
+    as often as those of similar texts do (but for 1 in 1,000 of them at the similarity itself): close
+    fingerprints alone join more and more unlike texts as the table grows.  Texts with one sketch are one
+    node.  In each group of candidates, by id and then by hash of the text, a text stays
     unless its ``words_each``-word shingles have a Jaccard similarity of ``similarity`` with those of
     one that stays.  Shingles are compared as 64-bit hashes; texts without words are equal.
 
@@ -319,17 +370,14 @@ def drop_near_duplicates(
     key, digest = F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     own = docs.select(key.alias("_i"), F.col(text_col).alias("_t"), digest.alias("_h"))
     names = [f"_f{k}" for k in range(members)]
-    prints = own.mapInArrow(_family(shingle, names), ", ".join(f"{c} long" for c in ["_i", "_h", *names]))
+    prints = own.mapInArrow(_family(shingle, names, words_each), ", ".join(f"{c} long" for c in ["_i", "_h", "_k", *names]))
     # one row for each text first, so that a large group of copies is summed where it lies
-    texts = checkpoint(prints.groupBy("_h", *names).agg(F.min("_i").alias("_i")))
-    node = {c: F.xxhash64(F.lit(k), F.col(c)) for k, c in enumerate(names)}
+    texts = checkpoint(prints.groupBy("_h", "_k", *names).agg(F.min("_i").alias("_i")))
     # all families in one search, told apart by their number
-    every = texts.select(F.explode(F.array(*[F.struct(F.lit(k).alias("_m"), F.col(c).alias("_v")) for k, c in enumerate(names)])).alias("x")).select("x._m", "x._v").distinct()
-    edges = close_links(every, "_v", radius, family="_m").select(*[F.xxhash64(F.col("_k").cast("int"), F.col(x)).alias(x) for x in ("src", "dst")])
-    if members > 1:  # fingerprints of one text belong together
-        edges = edges.unionByName(texts.select(F.explode(F.array(*[F.struct(node[names[0]].alias("src"), node[c].alias("dst")) for c in names[1:]])).alias("e")).select("e.src", "e.dst"))
-    roots = connected_components(edges).withColumnsRenamed({"node": "_n", "component": "_root"})
-    grouped = checkpoint(texts.select("_i", "_h", node[names[0]].alias("_n")).join(roots, "_n", "left").select("_i", "_h", F.coalesce("_root", "_n").alias("_root")))
+    every = texts.select("_k", F.explode(F.array(*[F.struct(F.lit(k).alias("_m"), F.col(c).alias("_v")) for k, c in enumerate(names)])).alias("x")).select("_k", "x._m", "x._v")
+    roots = connected_components(close_links(every, "_v", radius, family="_m", sketch="_k", least=least_parts(similarity)))
+    roots = roots.withColumnsRenamed({"node": "_k", "component": "_root"})
+    grouped = checkpoint(texts.select("_i", "_h", "_k").join(roots, "_k", "left").select("_i", "_h", F.coalesce("_root", "_k").alias("_root")))
     several = grouped.groupBy("_root").agg(F.count("*").alias("_n"), F.lit(True).alias("_several")).filter("_n > 1")
     asked = lookup(grouped, several, "_root", grouped.count()).drop("_several")
     sent = own.join(asked, ["_i", "_h"]).select("_root", "_i", "_h", "_t").mapInArrow(_shingle_sets(words_each), "_root long, _i long, _h long, _s binary")
@@ -341,13 +389,14 @@ def drop_near_duplicates(
     return rows.dropDuplicates(["_i", "_h"]).select("_row.*")
 
 
-def _family(shingle: int, names: list[str]):
+def _family(shingle: int, names: list[str], words_each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("_t"))
             for a, b in blocks(offsets):
-                made = fingerprint_family(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle, len(names))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("_i", "_h")], *[pa.array(x.view(np.int64)) for x in made]], names=["_i", "_h", *names])
+                data_, offsets_ = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                made = [sketches(data_, offsets_, words_each), *fingerprint_family(data_, offsets_, shingle, len(names))]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("_i", "_h")], *[pa.array(x.view(np.int64)) for x in made]], names=["_i", "_h", "_k", *names])
 
     return run
 

@@ -101,3 +101,16 @@ def test_near_duplicates_are_verified(spark):
     close = [(a, b) for a in kept for b in range(a + 1, a + 10) if b in kept and alike(a, b)]
     assert len(close) <= 6 and len([d for d in kept if d % 10 in (3, 4) and d < 9000]) == 120
     assert kept >= {10 * i for i in range(60)} and kept & {9000, 9001, 9002} == {9000}
+
+
+def test_unlike_texts_with_close_fingerprints_are_not_linked(spark, monkeypatch):
+    from catlink.llm import simhash
+
+    random.seed(8)
+    word = lambda: "".join(random.choices("abcdefghij", k=8))
+    docs = [(i, "over and " * 60 + " ".join(word() for _ in range(24))) for i in range(200)]
+    docs += [(1000 + i, t + " end") for i, t in docs[:5]]
+    links, find = [], simhash.connected_components
+    monkeypatch.setattr(simhash, "connected_components", lambda edges: links.append(edges.distinct().count()) or find(edges))
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept == set(range(200)) and links[0] <= 10  # 200 and more when a close fingerprint is enough
