@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -79,3 +80,36 @@ def test_seeded_pairs_do_not_depend_on_partitions(spark):
     nodes = spark.range(50).withColumnRenamed("id", "node")
     one = sorted(tuple(r) for r in N.seeded_pairs(nodes, 5).collect())
     assert one == sorted(tuple(r) for r in N.seeded_pairs(nodes.repartition(7), 5).collect()) and len(one) == 5
+
+
+def test_shared_edges_shuffle_memberships_not_pairs(spark, monkeypatch):
+    from collections import Counter
+    from itertools import combinations
+
+    rng = random.Random(4)
+    rows = [(rng.randrange(12), rng.choice(["a", "B", "é", "z", "Z9", "", "中", "q", "w", "e1"])) for _ in range(80)] + [(None, "a"), (3, None), (99, "alone")]
+    want = Counter()
+    for k in range(12):
+        want.update(combinations(sorted({n for i, n in rows if i == k and n is not None}), 2))
+    m = spark.createDataFrame(rows, "item int, member string")
+    monkeypatch.setattr(N, "LEAST_BLOCKS", 1)
+    for size in (1000, 30, 7):  # one block to eleven
+        monkeypatch.setattr(N, "BLOCK_ROWS", size)
+        edges = N.shared_edges(m, "member", "item")
+        plan = edges._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        assert sorted(map(tuple, edges.collect())) == sorted((*p, n) for p, n in want.items())
+    both = N.shared_edges(m, "member", "item", symmetric=True).collect()
+    assert sorted(map(tuple, both)) == sorted([(*p, n) for p, n in want.items()] + [(*p[::-1], n) for p, n in want.items()])
+    assert N.shared_edges(m.limit(0), "member", "item").count() == 0
+
+
+def test_a_cell_is_counted_in_bounded_steps(monkeypatch):
+    import pyarrow as pa
+
+    rows = [(0, k, n) for k in range(4) for n in range(20) if (n + k) % 3]
+    table = pa.table({"_side": [r[0] for r in rows], "k": [r[1] for r in rows], "n": [r[2] for r in rows]})
+    whole = [b for b in N._count_cell(table, True, False)]
+    monkeypatch.setattr(N, "PAIRS", 50)
+    steps = [b for b in N._count_cell(table, True, False)]
+    assert len(steps) > 5 and pa.Table.from_batches(steps).to_pylist() == pa.Table.from_batches(whole).to_pylist()
