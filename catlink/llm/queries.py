@@ -46,7 +46,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(_table(spark, sf_dir, "documents"), min_bytes=400)
     # what is left, as text: a removal may end inside a character, whose other bytes show as U+FFFD there
     left = F.make_valid_utf8(F.col("kept").cast("string"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left.alias("kept_text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left.alias("text"))
 
 
 #: Tokenizer versions of the rollup query, as regular expressions of their tokens.

@@ -27,3 +27,13 @@ def test_columns_of_the_contracts(spark):
     for name, columns in want.items():
         df = queries()[name](spark, SF)
         assert df.columns[: len(columns)] == columns and df.count() == rows
+
+
+def test_op5_returns_the_text_that_is_left(spark):
+    from pyspark.sql import functions as F
+
+    out = queries()["op5_suffix_dedup"](spark, SF)
+    own = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("own"))
+    left = out.join(own, "doc_id").select("text", "own", "n_removed", (F.sha2("text", 256) == F.col("kept_sha256")).alias("same"), F.contains("text", F.lit("�")).alias("cut")).collect()
+    assert all(r.same or r.cut for r in left) and all(r.text == r.own for r in left if r.n_removed == 0)
+    assert any(r.n_removed for r in left)
