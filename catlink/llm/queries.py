@@ -50,7 +50,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = suffix_dedup(_table(spark, sf_dir, "documents"), min_bytes=400, also=(PASSAGE_BYTES, "first", True))
     # what is left, as text: a removal may end inside a character, whose other bytes show as U+FFFD there
-    left, once = (F.make_valid_utf8(F.col(c).cast("string")) for c in ("kept", "kept1"))
+    left, once = F.make_valid_utf8(F.col("kept").cast("string")), F.col("kept1").cast("string")
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left.alias("text"), F.col("n_removed1").alias("n_later"), once.alias("text_once"))
 
 

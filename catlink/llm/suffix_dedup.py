@@ -69,15 +69,15 @@ def stretches(data: np.ndarray, offsets: np.ndarray, *lengths: int):
     none, bare = np.zeros(0, np.int64), np.zeros(0, np.uint64)
     found = [(none, none, none, bare, bare, none)]
     rolling = Rolling(data, 5) if len(data) >= min(lengths) else None
-    sizes = np.diff(offsets)
+    room = np.repeat(offsets[1:], np.diff(offsets)) - np.arange(len(data))
+    grams = {g: rolling.grams(g) for g in {min(ANCHOR_BYTES, x) for x in lengths if x <= len(data)}}
     for rule, length in enumerate(lengths):
         if len(data) < length:
             continue
         gram = min(ANCHOR_BYTES, length)
-        grams = rolling.grams(gram)
-        anchor = sliding_argmin(grams, length - gram + 1)
+        anchor = sliding_argmin(grams[gram], length - gram + 1)
         total = len(anchor)
-        inside = np.arange(total) + length <= np.repeat(offsets[1:], sizes)[:total]
+        inside = room[:total] >= length
         change = np.ones(total, bool)
         change[1:] = (anchor[1:] != anchor[:-1]) | ~inside[:-1]
         cuts = offsets[:-1]
@@ -88,7 +88,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, *lengths: int):
         salt = np.uint64(rule * SALT % 2**64)
         digest = rolling.of(first, end - 1 + length) ^ salt
         row = np.searchsorted(offsets, first, side="right") - 1
-        found.append((row, first, end - first, grams[anchor[first]] ^ salt, digest, np.full(len(row), rule)))
+        found.append((row, first, end - first, grams[gram][anchor[first]] ^ salt, digest, np.full(len(row), rule)))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
@@ -344,27 +344,30 @@ def _remove(*rules: tuple[int, str, bool]):
                 deltas = [np.zeros(len(x) + 1, np.int32) for _ in rules]
                 mine = np.flatnonzero((owner >= a) & (owner < b))
                 if len(mine):
-                    row, first, count, _, digest, rule = stretches(x, local, *(r[0] for r in rules))
+                    row, first, count, _, digest, rule = _stretches_of(x, local, np.unique(owner[mine] - a), *(r[0] for r in rules))
                     verdict = _combined(owner[mine], digests[mine])
                     order = np.argsort(verdict, kind="stable")
                     verdict, mine = verdict[order], mine[order]
                     have = _combined(row + a, digest)
                     at = np.minimum(np.searchsorted(verdict, have), len(verdict) - 1)
-                    seen: set[int] = set()
-                    for j in np.flatnonzero(verdict[at] == have).tolist():
-                        v, s, c = int(mine[at[j]]), int(first[j]), int(count[j])
-                        (length, keep, _), delta = rules[rule[j]], deltas[rule[j]]
-                        f, opening = int(flags[v]), int(at[j]) not in seen
-                        seen.add(int(at[j]))
-                        if f & FULL and (keep == "none" or not f & OWNER or not opening):
-                            delta[s] += 1
-                            delta[s + c - 1 + length] -= 1
-                            continue
-                        bits = fields["_any" if keep == "none" else "_early"][v].as_py()
-                        if bits:
-                            start = s + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=c))
-                            delta[start] += 1
-                            delta[start + length] -= 1
+                    hit = np.flatnonzero(verdict[at] == have)
+                    at = at[hit]
+                    opening = np.zeros(len(hit), bool)
+                    opening[np.unique(at, return_index=True)[1]] = True
+                    for r, ((length, keep, _), delta) in enumerate(zip(rules, deltas, strict=True)):
+                        f = flags[mine[at]]
+                        own = rule[hit] == r
+                        full = own & (f & FULL > 0) & ((keep == "none") | (f & OWNER == 0) | ~opening)
+                        s, c = first[hit[full]], count[hit[full]]
+                        np.add.at(delta, s, 1)
+                        np.add.at(delta, s + c - 1 + length, -1)
+                        said_bits = fields["_any" if keep == "none" else "_early"]
+                        for j in np.flatnonzero(own & ~full).tolist():
+                            bits = said_bits[int(mine[at[j]])].as_py()
+                            if bits:
+                                start = int(first[hit[j]]) + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=int(count[hit[j]])))
+                                delta[start] += 1
+                                delta[start + length] -= 1
                 columns = [batch.column("_i").slice(a, b - a), pa.array(np.diff(local)), batch.column("carried").slice(a, b - a)]
                 for (_, _, whole_chars), delta in zip(rules, deltas, strict=True):
                     gone = np.cumsum(delta[:-1]) > 0
@@ -374,6 +377,16 @@ def _remove(*rules: tuple[int, str, bool]):
     return run
 
 
+def _stretches_of(x: np.ndarray, local: np.ndarray, rows: np.ndarray, *lengths: int):
+    """The stretches of some rows only, which are in ascending order."""
+    sizes = np.diff(local)
+    asked = np.zeros(len(sizes), bool)
+    asked[rows] = True
+    short = np.concatenate([[0], np.cumsum(sizes[rows])])
+    row, first, *others = stretches(x[np.repeat(asked, sizes)], short, *lengths)
+    return rows[row], first - short[row] + local[rows[row]], *others
+
+
 def _left(x: np.ndarray, local: np.ndarray, gone: np.ndarray) -> list[pa.Array]:
     """Bytes removed, spans and the bytes that are left, for each text."""
     edge = gone.copy()
