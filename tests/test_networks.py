@@ -1,6 +1,8 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from catlink.operators import networks as N
@@ -113,3 +115,45 @@ def test_a_cell_is_counted_in_bounded_steps(monkeypatch):
     monkeypatch.setattr(N, "PAIRS", 50)
     steps = [b for b in N._count_cell(table, True, False)]
     assert len(steps) > 5 and pa.Table.from_batches(steps).to_pylist() == pa.Table.from_batches(whole).to_pylist()
+
+
+def test_jaccard_pairs_are_counted_where_they_meet_and_never_shuffled(spark, monkeypatch):
+    from itertools import combinations
+
+    rng = random.Random(5)
+    names = [f"n{i}" for i in range(40)] + ["é", "中", "", "Z"]
+    # twins around hubs, unlike nodes, a self-loop, a doubled edge and nodes without a name
+    pairs = [(n, rng.choice(["h1", "h2", "h3"])) for n in names[:24]] + [(rng.choice(names), rng.choice(names)) for _ in range(50)]
+    pairs += [("h1", "h2"), ("n1", "n1"), ("n2", "n3"), ("n3", "n2"), (None, "n4"), ("n5", None)]
+    near = {}
+    for a, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {}
+    for a, b in combinations(sorted((n for n in near if n is not None), key=str.encode), 2):
+        shared = len((near[a] & near[b]) - {None})
+        if shared:
+            want[a, b] = shared / (len(near[a]) + len(near[b]) - shared)
+    e = spark.createDataFrame(pairs, "src string, dst string")
+    monkeypatch.setattr(N, "LEAST_BLOCKS", 1)
+    for rows, piece, at_once in ((1000, 512, 1 << 20), (30, 3, 40)):  # one block and one step, several of each
+        for name, value in (("BLOCK_ROWS", rows), ("PIECE", piece), ("PAIRS", at_once)):
+            monkeypatch.setattr(N, name, value)
+        found = N.shared_jaccard(e)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("MapInArrow") < plan.index("Aggregate") and plan.index("MapInArrow") < plan.index("Join")
+        got = [tuple(r) for r in found.collect()]
+        assert len(got) == len(want) and {(a, b): v for a, b, v in got} == want
+        table = [(0, k, n) for n in sorted(near, key=str) if n is not None for k in near[n] if k is not None]
+        table = pa.table({"_side": [r[0] for r in table], "k": [r[1] for r in table], "n": [r[2] for r in table]})
+        assert all(sum(len(r["src"]) * len(r["dst"]) for r in b.to_pylist()) <= max(N.PAIRS // 8, len(names) * piece) for b in N._count_cell(table, True, False))
+
+
+def test_twins_are_told_by_their_items():
+    rows = [(0, 1), (0, 2), (1, 1), (1, 2), (2, 1), (2, 3), (3, 2), (3, 1), (4, 9)]
+    nodes, items = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    class_of, members, begin = N._twins(nodes, items, np.array([5, 5, 5, 5, 5]))
+    assert class_of[0] == class_of[1] == class_of[3] and len(set(class_of.tolist())) == 3 and begin[-1] == 5
+    assert sorted(members[begin[class_of[0]] : begin[class_of[0] + 1]].tolist()) == [0, 1, 3]
+    # nodes of different kinds are none
+    assert len(set(N._twins(nodes, items, np.array([5, 5, 5, 6, 5]))[0].tolist())) == 4
