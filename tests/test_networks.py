@@ -157,3 +157,31 @@ def test_twins_are_told_by_their_items():
     assert sorted(members[begin[class_of[0]] : begin[class_of[0] + 1]].tolist()) == [0, 1, 3]
     # nodes of different kinds are none
     assert len(set(N._twins(nodes, items, np.array([5, 5, 5, 6, 5]))[0].tolist())) == 4
+
+
+def test_memberships_are_dealt_in_packs(spark, monkeypatch):
+    rows = [(i % 7, i % 50) for i in range(4000)] + [(3, None), (None, 3)]
+    m = spark.createDataFrame(rows, "item int, member long").repartition(3)
+    monkeypatch.setattr(N, "LEAST_BLOCKS", 2)
+    found = N.shared_edges(m, "member", "item")
+    assert "_pack" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == [(a, b, 7) for a in range(50) for b in range(a + 1, 50)]
+
+
+def test_packs_hold_each_row_once_and_little(monkeypatch):
+    import datetime
+
+    monkeypatch.setattr(N, "PACK", 1000)
+    days = [datetime.date(2020, 1, 1) + datetime.timedelta(d) for d in range(20)]
+    rows = [(a, k, n) for a in (0, 1) for k in days for n in range(a, 1000, 7)]
+    table = pa.table({"_a": pa.array([r[0] for r in rows], pa.int64()), "k": [r[1] for r in rows], "n": pa.array([r[2] for r in rows], pa.int64())})
+    packs = list(N._pack(iter(table.to_batches(max_chunksize=300))))
+    assert len(packs) > 4 and sum(p["_pack"][0].as_buffer().size for p in packs) < 4 * len(rows)
+    back = []
+    for p in packs:
+        held = N._rows_of([p.append_column("_side", pa.array([0], pa.int32()))])
+        back += [(p["_a"][0].as_py(), r["k"], r["n"]) for r in held.to_pylist()]
+    assert back == rows
+    for values in (["b", "é"], [1.5, -0.5], [datetime.datetime(2020, 1, 1, tzinfo=datetime.timezone.utc)] * 2):
+        (p,) = N._pack(iter(pa.table({"_a": [5, 5], "k": values, "n": values}).to_batches()))
+        assert N._rows_of([p.append_column("_side", pa.array([1], pa.int32()))]).select(["_side", "k", "n"]).to_pylist() == [{"_side": 1, "k": v, "n": v} for v in values]
