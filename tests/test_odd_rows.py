@@ -2,7 +2,7 @@
 
 import duckdb
 
-from catlink.plans import registry, source_queries  # noqa: F401  register their queries
+from catlink.plans import registry, source_queries, text_queries  # noqa: F401  register their queries
 from tests.parity import compare
 
 
@@ -72,3 +72,16 @@ def test_pairs_of_shared_neighbours_are_not_joined_again(spark):
     found = N.shared_jaccard(spark.createDataFrame([("a", "h"), ("b", "h"), ("b", "g")], "src string, dst string"))
     assert plan_of(found).index("Aggregate") < plan_of(found).index("Join")
     assert sorted(map(tuple, found.collect())) == [("a", "b", 0.5), ("g", "h", 0.5)]
+
+
+def test_pages_cut_inside_an_entity_are_read_as_the_reference_reads_them(spark, tmp_path):
+    import html
+    import re
+
+    titles = ["a &amp;&amp", "b &lt", "c &amp;&am", "d &notit; &copy x", "e&nbsp", "f &#38 &#x26 g", "&amp;lt;b&amp;gt;"]
+    folder, _ = tables(tmp_path, pages="SELECT k::BIGINT AS page_id, h AS html FROM (VALUES " + ", ".join(f"({i}, '<title>{t}</title><h1>{t}</h1>')" for i, t in enumerate(titles)) + ") AS v(k, h)")
+    text = lambda x: re.sub(r"\s+", " ", re.sub("<[^>]+>", " ", html.unescape(x))).strip()
+    got = {r.page_id: (r.title, r.heading) for r in registry.QUERIES["html_titles_links"](spark, folder).collect()}
+    assert got == {i: (text(t),) * 2 for i, t in enumerate(titles)}
+    got = {r.page_id: r.text for r in registry.QUERIES["html_strip_tags"](spark, folder).collect()}
+    assert got == {i: text(f"<title>{t}</title><h1>{t}</h1>") for i, t in enumerate(titles)}
